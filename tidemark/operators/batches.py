@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import pieces_for, stage
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in its low 33 bits
 
 
+def whole_part(number: Column, size: int) -> Column:
+    """Integer quotient; a division of doubles is not exact for large numbers."""
+    return F.call_function("div", number, F.lit(size).cast("long"))
+
+
 def number_rows(rows: DataFrame, *order: str, partitions: int | None = None) -> DataFrame:
     """Add ``row_no``: the position of each row, from 0, in the total order ``order``.
 
@@ -20,7 +25,7 @@ def number_rows(rows: DataFrame, *order: str, partitions: int | None = None) ->
     columns after it, and those split it over several pieces.
     """
     spark = rows.sparkSession
-    pieces = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = partitions or pieces_for(rows)
     in_order = (
         rows.repartitionByRange(pieces, *order)
         .sortWithinPartitions(*order)
@@ -48,7 +53,7 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``batch_no`` so that each batch holds ``batch_size`` consecutive rows."""
     numbered = number_rows(rows, *order, partitions=partitions)
-    batch = F.floor(F.col("row_no") / batch_size).cast("long")
+    batch = whole_part(F.col("row_no"), batch_size)
     return numbered.withColumn("batch_no", batch).drop("row_no")
 
 
@@ -79,6 +84,6 @@ def fold_progress(metrics: DataFrame) -> DataFrame:
     )
 
 
-def percentage(done, total):
+def percentage(done: Column, total: Column) -> Column:
     """Share in percent; null while the total is not known or zero."""
     return F.when(total > 0, done / total * 100)

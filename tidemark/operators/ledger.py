@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.batches import whole_part
+
 # The states of a job.
 STATUSES = ["pending", "running", "paused", "completed", "failed", "rolled_back"]
 ACTIVE = ["pending", "running"]
@@ -48,7 +50,7 @@ def latest_status(columns: EventColumns = EventColumns()) -> Column:
     names = F.array(*[F.lit(s) for s in STATUSES])
     code = F.array_position(names, F.col(columns.status))
     when_set = F.when(F.col(columns.status).isNotNull(), F.col(columns.seq))
-    return F.element_at(names, F.max_by(code, when_set).cast("int"))
+    return F.get(names, F.max_by(code, when_set).cast("int") - 1)
 
 
 def latest_state(events: DataFrame, columns: EventColumns = EventColumns()) -> DataFrame:
@@ -119,9 +121,8 @@ def bad_transitions(
     next one from a table of one row per job and chunk.
     """
     job, seq, status = columns.job, columns.seq, columns.status
-    chunked = events.select(
-        job, seq, status, F.floor(F.col(seq) / chunk_width).cast("long").alias("_chunk")
-    )
+    chunk = whole_part(F.col(seq), chunk_width).alias("_chunk")
+    chunked = events.select(job, seq, status, chunk)
     inside = Window.partitionBy(job, "_chunk").orderBy(seq)
     chunk_ends = chunked.groupBy(job, "_chunk").agg(latest_status(columns).alias("_end"))
     carried = chunk_ends.select(

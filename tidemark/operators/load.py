@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A batch is broadcast only when its counted rows are at most this many (about 100 MB of keys).
+from tidemark.session import stage
+
+# Keys are broadcast only when they were counted and are at most this many (about 60 MB).
 SMALL_BATCH_ROWS = 500_000
 
 
@@ -24,15 +26,26 @@ def absent_keys(
 ) -> DataFrame:
     """Rows whose key the target lacks; only the key column of the target is read.
 
-    With ``batch_rows``, the counted size of ``rows``, a small batch is broadcast to the target to
-    find the keys already there, and the target is not shuffled.  Otherwise both sides are
-    shuffled by key unless adaptive execution finds one small.
+    Without ``batch_rows`` the result is one lazy plan: both sides are shuffled by key unless
+    Spark finds one small.  With it, the counted size of ``rows``, the rows themselves mostly need
+    not be shuffled: the keys the target already has are found first, from the key columns alone
+    (broadcasting a small batch to the target), and are broadcast if they turn out to be few.
     """
     keys = existing.select(key)
-    if batch_rows is not None and batch_rows <= SMALL_BATCH_ROWS:
-        found = keys.join(F.broadcast(rows.select(key)), key, "left_semi").distinct()
+    if batch_rows is None:
+        return rows.join(keys, key, "left_anti")
+    if existing.isEmpty():
+        return rows
+    batch_keys = rows.select(key)
+    if batch_rows <= SMALL_BATCH_ROWS:
+        # At most one row per key of the batch, so the bound holds for what is found as well.
+        found = keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
         return rows.join(F.broadcast(found), key, "left_anti")
-    return rows.join(keys, key, "left_anti")
+    found = stage(batch_keys.join(keys, key, "left_semi").distinct(), "found-keys")
+    n_found = found.count()
+    if n_found == 0:
+        return rows
+    return rows.join(F.broadcast(found) if n_found <= SMALL_BATCH_ROWS else found, key, "left_anti")
 
 
 def insert_if_absent(
@@ -41,15 +54,18 @@ def insert_if_absent(
     key: str,
     order: list | None = None,
     batch_rows: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """The rows to append: first of each key, where the target lacks the key.
 
-    The deduplication and the anti join use the same key, so the new rows are shuffled once.
-    Without ``order`` the first row is the smallest by all columns.
+    Without ``order`` the first row is the smallest by all columns.  ``unique`` says that no key
+    repeats within ``rows`` (count it, do not guess), which saves the deduplication; with
+    ``batch_rows`` too, a load into an empty or disjoint target writes without a wide shuffle.
     """
-    order = order or [c for c in rows.columns if c != key]
-    fresh = first_per_key(rows, key, order or [key])
-    return absent_keys(fresh, existing, key, batch_rows)
+    if not unique:
+        order = order or [c for c in rows.columns if c != key]
+        rows = first_per_key(rows, key, order or [key])
+    return absent_keys(rows, existing, key, batch_rows)
 
 
 def load_counts(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:

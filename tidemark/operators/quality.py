@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +45,20 @@ def duplicates(rows: DataFrame, *keys: str, where: Column | None = None) -> Data
 def violations(
     rows: DataFrame, row_id: str, limits: dict[str, int], not_null: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per value that is too long or missing, from a single scan."""
+    """One row per value that is too long or missing, from a single scan.
+
+    Rows without a finding are filtered out first, in generated code.
+    """
     checks = []
     for column, limit in limits.items():
         size = F.length(column)
-        checks.append(F.when(size > limit, _finding(column, "too long", size)))
+        checks.append((size > limit, _finding(column, "too long", size)))
     for column in not_null:
-        size = F.lit(None).cast("int")
-        checks.append(F.when(F.col(column).isNull(), _finding(column, "null", size)))
-    found = F.array_compact(F.array(*checks))
-    return rows.select(F.col(row_id).alias("row_id"), F.inline(found))
+        missing = F.lit(None).cast("int")
+        checks.append((F.col(column).isNull(), _finding(column, "null", missing)))
+    any_finding = reduce(or_, [F.coalesce(bad, F.lit(False)) for bad, _ in checks])
+    found = F.array_compact(F.array(*[F.when(bad, finding) for bad, finding in checks]))
+    return rows.where(any_finding).select(F.col(row_id).alias("row_id"), F.inline(found))
 
 
 def _finding(column: str, problem: str, size: Column) -> Column:

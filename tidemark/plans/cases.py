@@ -203,7 +203,7 @@ def progress_percentage(spark, sf_dir):
     checked = person(spark, sf_dir).select("id")
     numbered = batches.number_rows(checked, "id")
     total = checked.count()
-    batch = F.floor(F.col("row_no") / BATCH).cast("long")
+    batch = batches.whole_part(F.col("row_no"), BATCH)
     done = numbered.groupBy(batch.alias("batch_no")).agg(
         (F.max("row_no") + 1).alias("processed")
     )
@@ -440,9 +440,9 @@ def error_log_json(spark, sf_dir):
 
 
 def error_log_parse(spark, sf_dir):
-    """Failed events as JSON pages of one job and day, read back into rows."""
+    """Failed events as JSON pages of one job and range, read back into rows."""
     failed = ledger_events(spark, sf_dir).where(F.col("status") == "failed")
-    page = F.floor(F.col("seq") / BATCH).cast("long")
+    page = batches.whole_part(F.col("seq"), BATCH)
     entries = failed.select(
         "job_id", page.alias("page"), F.col("seq").alias("id"), F.col("props").alias("error")
     )
@@ -539,7 +539,7 @@ def stream_migrate(spark, sf_dir):
     migration = _migration(spark, sf_dir)
     job_id = migration.create_job("customer", "person")
     schema = table(spark, sf_dir, "customer").schema
-    files = as_person(file_stream(spark, sf_dir, schema, "customer.parquet", max_files=1))
+    files = as_person(file_stream(spark, f"{sf_dir}/customer.parquet", schema, max_files=100))
     checkpoint = scratch_path(spark, "stream")
     finish_stream(migration, job_id, stream_job(migration, job_id, files, checkpoint))
     return migration.target_rows("customer")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import batches, extract, ledger, load, quality, rollback, transform
 from tidemark.plans.spec import TransformSpec, lookup
-from tidemark.session import path_exists, staged
+from tidemark.session import path_exists, pieces_for, staged
 from tidemark.sources.target import TargetTable
 
 def _struct(**types: str) -> T.StructType:
@@ -101,11 +101,14 @@ class Migration:
             raise ValueError("batch_size must be positive")
         pair = (F.col("source_table") == source_table) & (F.col("target_table") == target_table)
         runs = self.jobs_table().where(pair)
-        if not runs.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
-            raise JobStateError("an active job for this source and target already exists")
-        start = ledger.resume_points(
-            runs, ["source_table", "target_table"], "created_seq", "last_processed_id", "start_after"
+        done = (F.col("status") == "completed") & ~F.col("dry_run")
+        reached = F.coalesce("last_processed_id", "start_after")
+        known = runs.agg(
+            F.count_if(F.col("status").isin(ledger.ACTIVE)).alias("active"),
+            F.max_by(reached, F.when(done, F.col("created_seq"))).alias("resume_after"),
         ).first()
+        if known.active:
+            raise JobStateError("an active job for this source and target already exists")
         job_id = str(uuid.uuid4())
         self._append(
             job_id,
@@ -115,7 +118,7 @@ class Migration:
             batch_size=batch_size,
             batch_delay_ms=batch_delay_ms,
             dry_run=dry_run,
-            start_after=start.resume_after if start else None,
+            start_after=known.resume_after,
         )
         return job_id
 
@@ -205,52 +208,47 @@ class Migration:
         return self.spark.read.schema(EVENTS).parquet(f"{self.root}/ledger")
 
     def jobs_table(self) -> DataFrame:
-        """The current state of every job, folded from its events."""
-        events = self.events()
+        """The current state of every job, folded from its events.
+
+        Events are folded per load first: a load that ran twice reports twice, and its last report
+        describes what is stored.  Events without a load carry the job's own values.
+        """
         seq = F.col("seq")
+        fixed = ("source_table", "target_table", "batch_size", "batch_delay_ms", "dry_run", "start_after")
+        counters = ("processed", "success", "failed", "skipped")
+        times = ("started_at", "completed_at", "rolled_back_at")
+
+        total_seq = F.when(F.col("total_records").isNotNull(), seq)
 
-        def last(name: str):
-            return F.max_by(name, F.when(F.col(name).isNotNull(), seq))
-
-        header = events.groupBy("job_id").agg(
-            *[
-                last(c).alias(c)
-                for c in (
-                    "source_table",
-                    "target_table",
-                    "total_records",
-                    "batch_size",
-                    "batch_delay_ms",
-                    "dry_run",
-                    "start_after",
-                )
-            ],
+        def time_of(status: str):
+            return F.when(F.col("status") == status, F.col("at"))
+
+        loads = self.events().groupBy("job_id", "load_id").agg(
+            *[F.max(c).alias(c) for c in fixed],
+            F.max_by("total_records", total_seq).alias("total_records"),
+            F.max(total_seq).alias("total_seq"),
             ledger.latest_status().alias("status"),
+            *[F.max_by(c, seq).alias(c) for c in (*counters, "first_id", "last_id")],
             F.min(seq).alias("created_seq"),
             F.min("at").alias("created_at"),
             F.max("at").alias("updated_at"),
+            *[F.max(time_of(t.removesuffix("_at").replace("started", "running"))).alias(t) for t in times],
         )
-        # A load that ran twice reports twice, and its last report describes what is stored.
-        counters = ("processed", "success", "failed", "skipped")
-        loads = (
-            events.where(F.col("load_id").isNotNull())
-            .groupBy("job_id", "load_id")
-            .agg(*[F.max_by(c, seq).alias(c) for c in (*counters, "first_id", "last_id")])
-        )
-        progress = loads.groupBy("job_id").agg(
-            *[F.sum(c).alias(c) for c in counters],
+        jobs = loads.groupBy("job_id").agg(
+            *[F.max(c).alias(c) for c in (*fixed, "status")],
+            F.coalesce(F.max_by("total_records", "total_seq"), F.lit(0).cast("long")).alias(
+                "total_records"
+            ),
+            *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in counters],
             F.min("first_id").alias("first_processed_id"),
             F.max("last_id").alias("last_processed_id"),
+            F.min("created_seq").alias("created_seq"),
+            F.min("created_at").alias("created_at"),
+            F.max("updated_at").alias("updated_at"),
+            *[F.max(t).alias(t) for t in times],
         )
-        times = ledger.status_times(events)
-        return (
-            header.join(progress, "job_id", "left")
-            .join(times, "job_id", "left")
-            .fillna(0, list(counters))
-            .withColumn(
-                "percentage", batches.percentage(F.col("processed"), F.col("total_records"))
-            )
-        )
+        share = batches.percentage(F.col("processed"), F.col("total_records"))
+        return jobs.withColumn("percentage", share)
 
     def list_jobs(self, status: str | None = None) -> DataFrame:
         """Jobs, newest first, all or those in one state."""
@@ -305,11 +303,11 @@ class Migration:
             rows = rows.select(*spec.source_columns())
         rows = extract.after_watermark(rows, spec.key, after)
         with self._snapshot(rows, spec, job, source) as rows:
-            remaining = rows.agg(F.count(spec.key)).first()[0]
-            self._append(job.job_id, total_records=job.processed + remaining)
             if job.batch_size is None:
                 ends = iter([None])
             else:
+                remaining = rows.count()
+                self._append(job.job_id, total_records=job.processed + remaining)
                 ends = self._slice_ends(rows, spec.key, job.batch_size)
             for end in ends:
                 if should_stop():
@@ -318,7 +316,7 @@ class Migration:
                 if end is not None:
                     piece = piece.where(F.col(spec.key) <= end)
                 load_id = f"{job.job_id}.{'start' if after is None else after}"
-                self.load(job, spec, piece, load_id)
+                self.load(job, spec, piece, load_id, whole_run=job.batch_size is None)
                 after = end
                 if job.batch_delay_ms:
                     time.sleep(job.batch_delay_ms / 1000)
@@ -330,8 +328,7 @@ class Migration:
     ) -> Iterator[DataFrame]:
         """Fix what the run moves; rows that go in many slices are sorted so a slice reads few files."""
         if job.batch_size is not None:
-            pieces = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            rows = rows.repartitionByRange(pieces, spec.key).sortWithinPartitions(spec.key)
+            rows = rows.repartitionByRange(pieces_for(rows), spec.key).sortWithinPartitions(spec.key)
         if source.stage or job.batch_size is not None:
             with staged(rows, f"job-{job.job_id}") as copy:
                 yield copy
@@ -347,8 +344,15 @@ class Migration:
             yield row[0]
         yield None
 
-    def load(self, job: Row, spec: TransformSpec, rows: DataFrame, load_id: str) -> dict[str, int]:
-        """Move ``rows`` as one load, then report it.
+    def load(
+        self,
+        job: Row,
+        spec: TransformSpec,
+        rows: DataFrame,
+        load_id: str,
+        whole_run: bool = False,
+    ) -> dict[str, int]:
+        """Move ``rows`` as one load, then report it; ``whole_run`` says it is all of the run.
 
         The counters come from a pass over the few columns they need and not from metrics gathered
         in passing, which a lost executor would count twice.
@@ -359,6 +363,8 @@ class Migration:
             F.count(transform.ERROR).alias("failed"),
             F.min(transform.SOURCE_ID).alias("first_id"),
             F.max(transform.SOURCE_ID).alias("last_id"),
+            F.count_distinct(transform.SOURCE_ID).alias("ids"),
+            F.count(transform.SOURCE_ID).alias("with_id"),
         ).first()
         if seen.processed == 0:
             return {"processed": 0, "success": 0, "failed": 0, "skipped": 0}
@@ -372,6 +378,7 @@ class Migration:
                 target.read(version, without_load=load_id),
                 spec.key_output,
                 batch_rows=n_valid,
+                unique=seen.ids == seen.with_id,
             )
             inserted = target.write_load(fresh, load_id, version)
         if seen.failed:
@@ -390,6 +397,7 @@ class Migration:
             load_id=load_id,
             first_id=seen.first_id,
             last_id=seen.last_id,
+            total_records=job.processed + seen.processed if whole_run else None,
             **counts,
         )
         return counts

@@ -39,6 +39,15 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 192 << 20) -> i
     return max(8, -(-input_bytes // target_bytes))
 
 
+def pieces_for(df: DataFrame, target_bytes: int = 192 << 20) -> int:
+    """Partitions for a shuffle of ``df``: the session's number, more where its size asks for it."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate >= 1 << 60:  # Spark does not know the size
+        return configured
+    return max(configured, -(-estimate // target_bytes))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -86,6 +95,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.getFileStatus(hadoop_path).isDirectory()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _file_system(spark, path)
     file_system.delete(hadoop_path, True)

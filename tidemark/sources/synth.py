@@ -19,8 +19,7 @@ FIRST_DOCTORS = (1, 10_000)
 
 def pick(values: list[str], number: Column) -> Column:
     """The entry of ``values`` at ``number`` modulo its length."""
-    index = (number % len(values) + 1).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+    return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
 
 
 def padded(number: Column, width: int) -> Column:

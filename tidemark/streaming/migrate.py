@@ -8,25 +8,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.jobs import Migration
 from tidemark.plans.spec import lookup
+from tidemark.session import is_folder
 
 
 def file_stream(
     spark: SparkSession,
-    folder: str,
+    location: str,
     schema: T.StructType,
-    pattern: str | None = None,
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """New parquet files of ``folder``; files or bytes per micro-batch hold the load back."""
+    """New parquet files of a folder; files or bytes per micro-batch hold the load back.
+
+    A single file works as well: it is the only one of its folder that is taken.
+    """
     reader = spark.readStream.schema(schema).format("parquet")
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.load(folder)
+    if is_folder(spark, location):
+        return reader.load(location)
+    folder, name = location.rstrip("/").rsplit("/", 1)
+    return reader.option("pathGlobFilter", name).load(folder)
 
 
 def stream_job(
