@@ -18,8 +18,9 @@ FIRST_DOCTORS = (1, 10_000)
 
 
 def pick(values: list[str], number: Column) -> Column:
-    """The entry of ``values`` at ``number`` modulo its length."""
-    return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
+    """The entry of ``values`` at ``number`` modulo its length; the last one where there is none."""
+    entries = F.array(*[F.lit(v) for v in values])
+    return F.coalesce(F.get(entries, (number % len(values)).cast("int")), F.lit(values[-1]))
 
 
 def padded(number: Column, width: int) -> Column:
