@@ -24,8 +24,12 @@ def truncate_chars(column: Column, limit: int) -> Column:
 
 
 def merge_text(*columns: Column, separator: str = " ") -> Column:
-    """Trim each field, join them, trim the whole. A null field counts as empty."""
-    return trim_unicode(F.concat_ws(separator, *[trim_unicode(c) for c in columns]))
+    """Trim each field and join those that are not blank; null counts as blank.
+
+    With a blank as separator this equals a trim of the whole, without trimming a third time.
+    """
+    fields = [F.nullif(trim_unicode(c), F.lit("")) for c in columns]
+    return F.concat_ws(separator, *fields)
 
 
 def is_blank(column: Column) -> Column:

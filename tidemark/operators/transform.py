@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import merge_text, truncate_chars, uuid5
+from tidemark.functions import is_blank, merge_text, truncate_chars, uuid5
 from tidemark.plans.spec import Copy, Merge, TransformSpec
 
 SOURCE_ID = "_source_id"
@@ -20,15 +23,13 @@ def _input(rows: DataFrame, name: str, strict_nulls: bool) -> Column:
     return column
 
 
-def _output(rows: DataFrame, field: Copy | Merge, strict_nulls: bool) -> tuple[Column, Column]:
-    """The full value of a field and the value that is stored."""
+def _output(rows: DataFrame, field: Copy | Merge, strict_nulls: bool) -> Column:
     if isinstance(field, Merge):
-        full = merge_text(
-            *[_input(rows, s, strict_nulls) for s in field.sources], separator=field.separator
-        )
+        sources = [_input(rows, s, strict_nulls) for s in field.sources]
+        value = merge_text(*sources, separator=field.separator)
     else:
-        full = _input(rows, field.source, strict_nulls)
-    return full, full if field.max_chars is None else truncate_chars(full, field.max_chars)
+        value = _input(rows, field.source, strict_nulls)
+    return value if field.max_chars is None else truncate_chars(value, field.max_chars)
 
 
 def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False) -> Column:
@@ -40,12 +41,13 @@ def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = Fals
     ]
     for field in spec.fields:
         if isinstance(field, Merge) and field.required:
-            full, _ = _output(rows, field, strict_nulls)
+            # The merged text is empty when every field is blank, and mostly the first one is not.
+            blank = reduce(and_, [is_blank(_input(rows, s, strict_nulls)) for s in field.sources])
             names = " and ".join(field.sources)
             count = "both" if len(field.sources) == 2 else "all of"
             message = f"transform {spec.key}=%s: {field.output} is empty ({count} {names} are blank)"
             checks.append(
-                F.when(full == "", F.format_string(message, F.col(spec.key).cast("string")))
+                F.when(blank, F.format_string(message, F.col(spec.key).cast("string")))
             )
     return F.coalesce(*checks)
 
@@ -57,7 +59,7 @@ def map_rows(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False) -
     """
     if spec.prepare is not None:
         rows = rows.transform(spec.prepare)
-    outputs = [_output(rows, f, strict_nulls)[1].alias(f.output) for f in spec.fields]
+    outputs = [_output(rows, f, strict_nulls).alias(f.output) for f in spec.fields]
     return rows.select(
         F.col(spec.key).alias(SOURCE_ID),
         error_column(rows, spec, strict_nulls).alias(ERROR),

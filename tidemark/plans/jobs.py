@@ -53,6 +53,47 @@ ERROR_FILE = _struct(id="long", error="string")
 ERRORS = _struct(id="long", error="string", job_id="string", load_id="string")
 
 
+NEW_EVENT = ", ".join(
+    f"CAST({'current_timestamp()' if f.name == 'at' else ':' + f.name} AS {f.dataType.simpleString()})"
+    f" AS {f.name}"
+    for f in EVENTS
+)
+
+# Folded per load first, then per job; the last status is kept as its number in the list.
+STATUS_NAMES = f"array({', '.join(repr(s) for s in ledger.STATUSES)})"
+JOBS = f"""
+WITH loads AS (
+  SELECT job_id, load_id,
+         max(source_table) AS source_table, max(target_table) AS target_table,
+         max(batch_size) AS batch_size, max(batch_delay_ms) AS batch_delay_ms,
+         max(dry_run) AS dry_run, max(start_after) AS start_after,
+         max_by(total_records, seq) FILTER (WHERE total_records IS NOT NULL) AS total_records,
+         max(seq) FILTER (WHERE total_records IS NOT NULL) AS total_seq,
+         max_by(array_position({STATUS_NAMES}, status), seq) FILTER (WHERE status IS NOT NULL)
+           AS status_no,
+         max_by(processed, seq) AS processed, max_by(success, seq) AS success,
+         max_by(failed, seq) AS failed, max_by(skipped, seq) AS skipped,
+         max_by(first_id, seq) AS first_id, max_by(last_id, seq) AS last_id,
+         min(seq) AS created_seq, min(at) AS created_at, max(at) AS updated_at,
+         max(at) FILTER (WHERE status = 'running') AS started_at,
+         max(at) FILTER (WHERE status = 'completed') AS completed_at,
+         max(at) FILTER (WHERE status = 'rolled_back') AS rolled_back_at
+  FROM {{events}} GROUP BY job_id, load_id)
+SELECT job_id, max(source_table) AS source_table, max(target_table) AS target_table,
+       get({STATUS_NAMES}, CAST(max(status_no) AS INT) - 1) AS status,
+       coalesce(max_by(total_records, total_seq), 0L) AS total_records,
+       coalesce(sum(processed), 0L) AS processed, coalesce(sum(success), 0L) AS success,
+       coalesce(sum(failed), 0L) AS failed, coalesce(sum(skipped), 0L) AS skipped,
+       min(first_id) AS first_processed_id, max(last_id) AS last_processed_id,
+       max(batch_size) AS batch_size, max(batch_delay_ms) AS batch_delay_ms,
+       max(dry_run) AS dry_run, max(start_after) AS start_after,
+       min(created_seq) AS created_seq, min(created_at) AS created_at,
+       max(updated_at) AS updated_at, max(started_at) AS started_at,
+       max(completed_at) AS completed_at, max(rolled_back_at) AS rolled_back_at
+FROM loads GROUP BY job_id
+"""
+
+
 class JobStateError(RuntimeError):
     """The job's state does not allow the request."""
 
@@ -213,40 +254,7 @@ class Migration:
         Events are folded per load first: a load that ran twice reports twice, and its last report
         describes what is stored.  Events without a load carry the job's own values.
         """
-        seq = F.col("seq")
-        fixed = ("source_table", "target_table", "batch_size", "batch_delay_ms", "dry_run", "start_after")
-        counters = ("processed", "success", "failed", "skipped")
-        times = ("started_at", "completed_at", "rolled_back_at")
-
-        total_seq = F.when(F.col("total_records").isNotNull(), seq)
-
-        def time_of(status: str):
-            return F.when(F.col("status") == status, F.col("at"))
-
-        loads = self.events().groupBy("job_id", "load_id").agg(
-            *[F.max(c).alias(c) for c in fixed],
-            F.max_by("total_records", total_seq).alias("total_records"),
-            F.max(total_seq).alias("total_seq"),
-            ledger.latest_status().alias("status"),
-            *[F.max_by(c, seq).alias(c) for c in (*counters, "first_id", "last_id")],
-            F.min(seq).alias("created_seq"),
-            F.min("at").alias("created_at"),
-            F.max("at").alias("updated_at"),
-            *[F.max(time_of(t.removesuffix("_at").replace("started", "running"))).alias(t) for t in times],
-        )
-        jobs = loads.groupBy("job_id").agg(
-            *[F.max(c).alias(c) for c in (*fixed, "status")],
-            F.coalesce(F.max_by("total_records", "total_seq"), F.lit(0).cast("long")).alias(
-                "total_records"
-            ),
-            *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in counters],
-            F.min("first_id").alias("first_processed_id"),
-            F.max("last_id").alias("last_processed_id"),
-            F.min("created_seq").alias("created_seq"),
-            F.min("created_at").alias("created_at"),
-            F.max("updated_at").alias("updated_at"),
-            *[F.max(t).alias(t) for t in times],
-        )
+        jobs = self.spark.sql(JOBS, events=self.events())
         share = batches.percentage(F.col("processed"), F.col("total_records"))
         return jobs.withColumn("percentage", share)
 
@@ -406,15 +414,10 @@ class Migration:
 
     def _append(self, job_id: str, **values) -> None:
         self._last_seq = max(self._last_seq + 1, time.time_ns())
-        values |= {"job_id": job_id, "seq": self._last_seq}
-        row = [
-            (F.current_timestamp() if f.name == "at" else F.lit(values.get(f.name)))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in EVENTS
-        ]
-        event = self.spark.range(0, 1, 1, 1).select(*row)
-        event.write.mode("append").parquet(f"{self.root}/ledger")
+        given = {f.name: values.get(f.name) for f in EVENTS if f.name != "at"}
+        given |= {"job_id": job_id, "seq": self._last_seq}
+        event = self.spark.sql(f"SELECT {NEW_EVENT}", args=given)
+        event.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
 
     @staticmethod
     def _error_folder(job_id: str = "none", load_id: str = "none") -> str:

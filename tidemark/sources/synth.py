@@ -120,13 +120,15 @@ def grow(
 ) -> dict[str, int]:
     """Append patients ``first`` to ``last`` where absent. Running it again adds nothing.
 
-    The filter on the key range reaches the scan, so only row groups that overlap the range are
-    read for the anti join.
+    The anti join is on bare ids and the rows are made after it, so only ids are shuffled; the
+    range filter reaches the scan, which skips the row groups outside the range.
     """
-    new = patients(integer_series(spark, first, last))
-    existing = spark.read.schema(new.schema).parquet(location)
+    ids = integer_series(spark, first, last, key)
+    schema = patients(ids, key).schema
+    existing = spark.read.schema(schema).parquet(location)
     before = existing.count()
     in_range = existing.where(F.col(key).between(first, last))
-    absent_rows(new, in_range, key).write.mode("append").parquet(location)
-    after = spark.read.schema(new.schema).parquet(location).count()
+    new_ids = absent_rows(ids, in_range, key)
+    patients(new_ids, key).write.mode("append").parquet(location)
+    after = spark.read.schema(schema).parquet(location).count()
     return {"before_count": before, "after_count": after, "added": after - before}
