@@ -1,12 +1,13 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import load, quality, rollback
 from tidemark.plans.spec import PATIENTS
 from tidemark.functions import uuid5
-from tidemark.sources import TargetTable, append_bucketed
+from tidemark.sources import TargetTable, append_bucketed, create_catalog_table
 
 FEW = settings(
     max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -153,3 +154,24 @@ def test_reconcile(spark, source, inserted, skipped, rejected, expected):
         [(inserted, skipped, rejected)], "inserted long, skipped long, rejected long"
     )
     assert tuple(quality.reconcile(counted, counts).first()) == expected
+
+
+def test_catalog_table_enforces_limits(spark):
+    spark.sql("DROP TABLE IF EXISTS limited_target")
+    rows = spark.sql("SELECT 1L AS k, 'abc' AS name")
+    try:
+        assert create_catalog_table(spark, "limited_target", rows.schema, {"name": 3}) is True
+        assert create_catalog_table(spark, "limited_target", rows.schema, {"name": 3}) is False
+        rows.write.insertInto("limited_target")
+        with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH"):
+            rows.withColumn("name", F.lit("abcd")).write.insertInto("limited_target")
+        assert spark.table("limited_target").count() == 1
+    finally:
+        spark.sql("DROP TABLE limited_target")
+
+
+def test_derived_keys_are_not_computed_to_test_for_null(spark, plan_of):
+    rows = spark.range(10).select(uuid5(F.col("id"), PATIENTS.namespace).alias("k"))
+    nullable = rows.select(F.nullif("k", F.lit("x")).alias("k"))
+    plan = plan_of(load.absent_keys(nullable, rows, "k", batch_rows=10))
+    assert "isnotnull(coalesce" not in plan

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import pieces_for, stage
+from tidemark.session import stage
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in its low 33 bits
 
@@ -18,17 +18,16 @@ def whole_part(number: Column, size: int) -> Column:
 def number_rows(rows: DataFrame, *order: str, partitions: int | None = None) -> DataFrame:
     """Add ``row_no``: the position of each row, from 0, in the total order ``order``.
 
-    One range shuffle sorts the table into ``partitions`` sorted pieces, which are written once to
-    the shared folder: the bounds are sampled, so a piece computed a second time could differ.  The
+    One range shuffle sorts the table into pieces (``partitions``, or the session's number of
+    shuffle partitions merged by adaptive execution), which are written once to the shared folder: the bounds are sampled, so a piece computed a second time could differ.  The
     rows per piece are then counted from one column, and the running totals (one number a piece)
     are joined back.  ``order`` must tell rows apart; a column shared by very many rows needs more
     columns after it, and those split it over several pieces.
     """
     spark = rows.sparkSession
-    pieces = partitions or pieces_for(rows)
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), *order)
     in_order = (
-        rows.repartitionByRange(pieces, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     written = stage(in_order, "numbered")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stage
 
@@ -36,7 +37,7 @@ def absent_keys(
         return rows.join(keys, key, "left_anti")
     if existing.isEmpty():
         return rows
-    batch_keys = rows.select(key)
+    batch_keys = _never_null(rows.select(key))
     if batch_rows <= SMALL_BATCH_ROWS:
         # At most one row per key of the batch, so the bound holds for what is found as well.
         found = keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
@@ -48,6 +49,14 @@ def absent_keys(
     return rows.join(F.broadcast(found) if n_found <= SMALL_BATCH_ROWS else found, key, "left_anti")
 
 
+def _never_null(keys: DataFrame) -> DataFrame:
+    """Text keys declared not null, or the join would first compute each derived key to test it."""
+    (column,) = keys.schema.fields
+    if not isinstance(column.dataType, T.StringType):
+        return keys
+    return keys.select(F.coalesce(column.name, F.lit("")).alias(column.name))
+
+
 def insert_if_absent(
     rows: DataFrame,
     existing: DataFrame,

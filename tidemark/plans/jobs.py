@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import batches, extract, ledger, load, quality, rollback, transform
 from tidemark.plans.spec import TransformSpec, lookup
-from tidemark.session import path_exists, pieces_for, staged
+from tidemark.session import path_exists, staged
 from tidemark.sources.target import TargetTable
 
 def _struct(**types: str) -> T.StructType:
@@ -336,7 +336,7 @@ class Migration:
     ) -> Iterator[DataFrame]:
         """Fix what the run moves; rows that go in many slices are sorted so a slice reads few files."""
         if job.batch_size is not None:
-            rows = rows.repartitionByRange(pieces_for(rows), spec.key).sortWithinPartitions(spec.key)
+            rows = rows.repartitionByRange(spec.key).sortWithinPartitions(spec.key)
         if source.stage or job.batch_size is not None:
             with staged(rows, f"job-{job.job_id}") as copy:
                 yield copy

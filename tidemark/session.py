@@ -17,8 +17,17 @@ BASE_CONF = {
 }
 
 
-def get_session(app: str = "tidemark", cores: int | None = None, **conf: str) -> SparkSession:
-    """Build a session. ``cores`` makes a local one; leave it out under spark-submit."""
+def get_session(
+    app: str = "tidemark",
+    cores: int | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """Build a session. ``cores`` makes a local one; leave it out under spark-submit.
+
+    ``input_bytes``, the size of the tables to shuffle, sets the number of shuffle partitions to
+    start from; adaptive execution merges those that turn out small.
+    """
     builder = SparkSession.builder.appName(app)
     settings = dict(BASE_CONF)
     if cores is not None:
@@ -29,25 +38,19 @@ def get_session(app: str = "tidemark", cores: int | None = None, **conf: str) ->
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
         }
+    if input_bytes is not None:
+        start = str(shuffle_partitions_for(input_bytes))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = start
     for name, value in (settings | conf).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 192 << 20) -> int:
-    """First guess for ``spark.sql.shuffle.partitions``; AQE merges what turns out small."""
+    """Shuffle partitions that keep one partition of ``input_bytes`` within a task's memory."""
     return max(8, -(-input_bytes // target_bytes))
 
 
-def pieces_for(df: DataFrame, target_bytes: int = 192 << 20) -> int:
-    """Partitions for a shuffle of ``df``: the session's number, more where its size asks for it."""
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if estimate >= 1 << 60:  # Spark does not know the size
-        return configured
-    return max(configured, -(-estimate // target_bytes))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
