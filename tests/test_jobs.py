@@ -178,6 +178,27 @@ def test_one_active_job_per_pair(clinic):
     clinic.create()  # a paused job does not block the next one
 
 
+def test_no_rollback_beside_an_active_job(clinic):
+    clinic.add(1, 10)
+    done = clinic.run()
+    clinic.create()
+    with pytest.raises(JobStateError, match="another job"):
+        clinic.migration.rollback_job(done.job_id)
+
+
+@pytest.mark.parametrize("batch_size", [None, 2])
+def test_rows_without_a_key_are_rejected(spark, tmp_path, batch_size):
+    clinic = Clinic(spark, str(tmp_path))
+    clinic.add(1, 5)
+    nameless = spark.read.parquet(clinic.location).limit(1)
+    nameless.withColumn("id_pasien", F.lit(None).cast("int")).write.mode("append").parquet(
+        clinic.location
+    )
+    job = clinic.run(batch_size=batch_size)
+    assert counters(job) == (6, 6, 5, 1, 0)
+    assert [r.id for r in clinic.migration.job_errors(job.job_id).collect()] == [None]
+
+
 def test_requests_are_checked(clinic):
     with pytest.raises(LookupError):
         clinic.migration.create_job("pasien", "elsewhere")

@@ -1,6 +1,12 @@
 import pytest
 
-from tidemark.session import path_exists, shared_dir, shuffle_partitions_for, stage, staged
+from tidemark.session import (
+    path_exists,
+    run_folder,
+    shared_dir,
+    shuffle_partitions_for,
+    stage,
+)
 from tidemark.sources import DatabaseConfig, read_snapshot
 from tidemark.sources.jdbc import partition_options
 
@@ -23,10 +29,12 @@ def test_staging_goes_to_the_shared_folder(spark):
     rows = stage(spark.range(5), "example")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(shared_dir(spark) in name for name in rows.inputFiles())
-    with staged(spark.range(5), "example") as copy:
-        folder = copy.inputFiles()[0].rsplit("/", 1)[0]
+    with run_folder(spark, "run") as folder:
+        copy = stage(spark.range(5), "example")
+        assert all(folder in name for name in copy.inputFiles())
         assert copy.count() == 5
     assert not path_exists(spark, folder)
+    assert rows.count() == 5
 
 
 @pytest.mark.parametrize(("size", "expected"), [(0, 8), (100 << 40, 546_134)])

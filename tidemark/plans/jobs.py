@@ -9,7 +9,6 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import batches, extract, ledger, load, quality, rollback, transform
 from tidemark.plans.spec import TransformSpec, lookup
-from tidemark.session import path_exists, staged
+from tidemark.session import path_exists, run_folder, stage
 from tidemark.sources.target import TargetTable
 
 def _struct(**types: str) -> T.StructType:
@@ -53,6 +52,8 @@ ERROR_FILE = _struct(id="long", error="string")
 ERRORS = _struct(id="long", error="string", job_id="string", load_id="string")
 
 
+COUNTERS = ("processed", "success", "failed", "skipped")
+
 NEW_EVENT = ", ".join(
     f"CAST({'current_timestamp()' if f.name == 'at' else ':' + f.name} AS {f.dataType.simpleString()})"
     f" AS {f.name}"
@@ -206,6 +207,9 @@ class Migration:
             raise JobStateError("job is already rolled back")
         if job.dry_run or job.first_processed_id is None:
             raise JobStateError("job has no processed range to roll back")
+        others = self.jobs_table().where(F.col("target_table") == job.target_table)
+        if not others.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
+            raise JobStateError("cannot roll back while another job of the target is active")
         spec = lookup(job.source_table, job.target_table)
         version = self.target_version(job.target_table)
         target = self.target(spec)
@@ -310,19 +314,25 @@ class Migration:
         if spec.prepare is None:
             rows = rows.select(*spec.source_columns())
         rows = extract.after_watermark(rows, spec.key, after)
-        with self._snapshot(rows, spec, job, source) as rows:
+        if job.batch_size is not None:
+            # Sorted, so that a slice reads the few files that hold its keys.
+            rows = rows.repartitionByRange(spec.key).sortWithinPartitions(spec.key)
+        with run_folder(self.spark, f"job-{job.job_id}"):
+            if source.stage or job.batch_size is not None:
+                rows = stage(rows, "snapshot")
             if job.batch_size is None:
                 ends = iter([None])
             else:
-                remaining = rows.count()
-                self._append(job.job_id, total_records=job.processed + remaining)
+                self._append(job.job_id, total_records=job.processed + rows.count())
                 ends = self._slice_ends(rows, spec.key, job.batch_size)
             for end in ends:
                 if should_stop():
                     return "paused"
-                piece = rows if after is None else rows.where(F.col(spec.key) > after)
+                piece = extract.after_watermark(rows, spec.key, after)
                 if end is not None:
-                    piece = piece.where(F.col(spec.key) <= end)
+                    upto = F.col(spec.key) <= end
+                    # Rows without a key are rejected with the first slice of a whole table.
+                    piece = piece.where(upto if after is not None else upto | F.col(spec.key).isNull())
                 load_id = f"{job.job_id}.{'start' if after is None else after}"
                 self.load(job, spec, piece, load_id, whole_run=job.batch_size is None)
                 after = end
@@ -330,19 +340,6 @@ class Migration:
                     time.sleep(job.batch_delay_ms / 1000)
         return "completed"
 
-    @contextmanager
-    def _snapshot(
-        self, rows: DataFrame, spec: TransformSpec, job: Row, source: Source
-    ) -> Iterator[DataFrame]:
-        """Fix what the run moves; rows that go in many slices are sorted so a slice reads few files."""
-        if job.batch_size is not None:
-            rows = rows.repartitionByRange(spec.key).sortWithinPartitions(spec.key)
-        if source.stage or job.batch_size is not None:
-            with staged(rows, f"job-{job.job_id}") as copy:
-                yield copy
-        else:
-            yield rows
-
     @staticmethod
     def _slice_ends(rows: DataFrame, key: str, size: int) -> Iterator[int | None]:
         """The last key of every full slice in order, then ``None`` for the rest."""
@@ -365,6 +362,17 @@ class Migration:
         The counters come from a pass over the few columns they need and not from metrics gathered
         in passing, which a lost executor would count twice.
         """
+        with run_folder(self.spark, "load"):
+            counts = self._load(job, spec, rows, load_id)
+        if counts is None:
+            return dict.fromkeys(COUNTERS, 0)
+        total = job.processed + counts["processed"] if whole_run else None
+        self._append(job.job_id, load_id=load_id, total_records=total, **counts)
+        return {name: counts[name] for name in COUNTERS}
+
+    def _load(
+        self, job: Row, spec: TransformSpec, rows: DataFrame, load_id: str
+    ) -> dict[str, int] | None:
         mapped = transform.map_rows(rows, spec)
         seen = mapped.agg(
             F.count(F.lit(1)).alias("processed"),
@@ -375,7 +383,7 @@ class Migration:
             F.count(transform.SOURCE_ID).alias("with_id"),
         ).first()
         if seen.processed == 0:
-            return {"processed": 0, "success": 0, "failed": 0, "skipped": 0}
+            return None
         n_valid = seen.processed - seen.failed
         inserted = n_valid
         if not job.dry_run and n_valid:
@@ -394,21 +402,14 @@ class Migration:
             rejects.withColumn("id", F.col("id").cast("long")).write.mode("overwrite").parquet(
                 f"{self.root}/errors/{self._error_folder(job.job_id, load_id)}"
             )
-        counts = {
+        return {
             "processed": seen.processed,
             "success": inserted,
             "failed": seen.failed,
             "skipped": n_valid - inserted,
+            "first_id": seen.first_id,
+            "last_id": seen.last_id,
         }
-        self._append(
-            job.job_id,
-            load_id=load_id,
-            first_id=seen.first_id,
-            last_id=seen.last_id,
-            total_records=job.processed + seen.processed if whole_run else None,
-            **counts,
-        )
-        return counts
 
     # -- ledger rows --------------------------------------------------------------------------
 

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -67,32 +70,35 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A new path below the current run's folder, or below the shared folder outside a run."""
+    folder = _run_folder.get() or f"{shared_dir(spark)}/tidemark"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """Keep what is staged inside the block in one folder, and remove it at the end."""
+    path = scratch_path(spark, name)
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        remove_path(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and unlike ``checkpoint()`` stays columnar, so later
-    passes read only the columns they use.  The folder stays until the shared folder is cleaned;
-    use :func:`staged` where the end of use is known.
+    passes read only the columns they use.  Within :func:`run_folder` the copy goes when the run
+    ends; otherwise it stays for the owner of the shared folder to clean, as checkpoints do.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """Like :func:`stage`, and remove the folder at the end of the block."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        remove_path(spark, path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)
