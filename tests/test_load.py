@@ -10,7 +10,7 @@ from tidemark.functions import uuid5
 from tidemark.sources import TargetTable, append_bucketed, create_catalog_table
 
 FEW = settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 ROWS = st.lists(st.tuples(st.integers(0, 9), st.integers(0, 5)), max_size=40)
 
@@ -22,18 +22,21 @@ def expected(rows, existing):
     return sorted((k, v) for k, v in first.items() if k not in existing)
 
 
+@pytest.mark.parametrize("unique", [False, True])
 @pytest.mark.parametrize("strategy", ["plan", "small", "found few", "found many"])
 @FEW
 @given(ROWS, st.sets(st.integers(0, 9)))
-def test_every_strategy_gives_the_same_rows(spark, strategy, rows, existing):
-    new = spark.createDataFrame(rows, "k long, v long")
-    target = spark.createDataFrame([(k,) for k in existing], "k long")
+def test_every_strategy_gives_the_same_rows(spark, strategy, unique, rows, existing):
+    if unique:
+        rows = expected(rows, set())
+    new = spark.createDataFrame(rows, "k string, v long")
+    target = spark.createDataFrame([(k,) for k in existing], "k string")
     with pytest.MonkeyPatch.context() as patch:
         if strategy in ("found few", "found many"):
             patch.setattr(load, "SMALL_BATCH_ROWS", 1 if strategy == "found few" else 0)
         counted = None if strategy == "plan" else len(rows)
-        got = load.insert_if_absent(new, target, "k", ["v"], batch_rows=counted)
-        assert sorted(tuple(r) for r in got.collect()) == expected(rows, existing)
+        got = load.insert_if_absent(new, target, "k", ["v"], batch_rows=counted, unique=unique)
+        assert sorted((int(r.k), r.v) for r in got.collect()) == expected(rows, existing)
 
 
 @FEW

@@ -70,11 +70,14 @@ def insert_if_absent(
     Without ``order`` the first row is the smallest by all columns.  ``unique`` says that no key
     repeats within ``rows`` (count it, do not guess), which saves the deduplication; with
     ``batch_rows`` too, a load into an empty or disjoint target writes without a wide shuffle.
+    A large batch with repeated keys is shuffled once, for the deduplication and the anti join.
     """
-    if not unique:
-        order = order or [c for c in rows.columns if c != key]
-        rows = first_per_key(rows, key, order or [key])
-    return absent_keys(rows, existing, key, batch_rows)
+    if unique:
+        return absent_keys(rows, existing, key, batch_rows)
+    order = order or [c for c in rows.columns if c != key] or [key]
+    if batch_rows is not None and (batch_rows <= SMALL_BATCH_ROWS or existing.isEmpty()):
+        return first_per_key(absent_keys(rows, existing, key, batch_rows), key, order)
+    return absent_keys(first_per_key(rows, key, order), existing, key)
 
 
 def load_counts(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -244,14 +244,14 @@ ORACLES = {
         SELECT 'part' AS table_name, p_partkey AS row_id, 'p_name' AS column_name,
                'too long' AS problem, length(p_name)::INTEGER AS n_chars
         FROM part WHERE length(p_name) > 10
-        UNION ALL SELECT 'part', p_partkey, 'p_brand', 'too long', length(p_brand)
+        UNION ALL SELECT 'part', p_partkey, 'p_brand', 'too long', length(p_brand)::INTEGER
         FROM part WHERE length(p_brand) > 7
-        UNION ALL SELECT 'part', p_partkey, 'p_type', 'null', NULL FROM part WHERE p_type IS NULL
-        UNION ALL SELECT 'documents', doc_id, 'text', 'too long', length(text)
+        UNION ALL SELECT 'part', p_partkey, 'p_type', 'null', NULL::INTEGER FROM part WHERE p_type IS NULL
+        UNION ALL SELECT 'documents', doc_id, 'text', 'too long', length(text)::INTEGER
         FROM documents WHERE length(text) > 2000
-        UNION ALL SELECT 'documents', doc_id, 'lang', 'too long', length(lang)
+        UNION ALL SELECT 'documents', doc_id, 'lang', 'too long', length(lang)::INTEGER
         FROM documents WHERE length(lang) > 2
-        UNION ALL SELECT 'documents', doc_id, 'source', 'null', NULL
+        UNION ALL SELECT 'documents', doc_id, 'source', 'null', NULL::INTEGER
         FROM documents WHERE source IS NULL""",
     "ledger_latest_state": f"WITH {LEDGER} SELECT * FROM state",
     "ledger_status_times": f"""
