@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import path_exists
+from tidemark.operators.load import absent_keys
+from tidemark.session import path_exists, run_folder
 from tidemark.sources import words
 from tidemark.sources.series import integer_series
 
@@ -16,6 +17,8 @@ FIRST_PATIENTS = (1, 2_000_000)
 GROWTH_PATIENTS = (2_000_001, 3_500_000)
 FIRST_DOCTORS = (1, 10_000)
 
+ROWS_PER_TASK = 500_000
+
 
 def pick(values: list[str], number: Column) -> Column:
     """The entry of ``values`` at ``number`` modulo its length; the last one where there is none."""
@@ -98,11 +101,6 @@ def doctors(ids: DataFrame, column: str = "n") -> DataFrame:
     )
 
 
-def absent_rows(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows whose key ``existing`` lacks."""
-    return rows.join(existing.select(key), key, "left_anti")
-
-
 def ensure_table(
     spark: SparkSession, location: str, make_rows: Callable[[], DataFrame]
 ) -> bool:
@@ -120,15 +118,18 @@ def grow(
 ) -> dict[str, int]:
     """Append patients ``first`` to ``last`` where absent. Running it again adds nothing.
 
-    The anti join is on bare ids and the rows are made after it, so only ids are shuffled; the
-    range filter reaches the scan, which skips the row groups outside the range.
+    The check is on bare ids and the rows are made after it; the range filter reaches the scan,
+    which skips the row groups outside the range.
     """
-    ids = integer_series(spark, first, last, key)
+    total = max(last - first + 1, 0)
+    pieces = max(spark.sparkContext.defaultParallelism, total // ROWS_PER_TASK)
+    ids = integer_series(spark, first, last, key, pieces)
     schema = patients(ids, key).schema
     existing = spark.read.schema(schema).parquet(location)
     before = existing.count()
     in_range = existing.where(F.col(key).between(first, last))
-    new_ids = absent_rows(ids, in_range, key)
-    patients(new_ids, key).write.mode("append").parquet(location)
+    with run_folder(spark, "growth"):
+        new_ids = absent_keys(ids, in_range, key, batch_rows=total)
+        patients(new_ids, key).write.mode("append").parquet(location)
     after = spark.read.schema(schema).parquet(location).count()
     return {"before_count": before, "after_count": after, "added": after - before}
