@@ -397,11 +397,10 @@ class Migration:
                 unique=seen.ids == seen.with_id,
             )
             inserted = target.write_load(fresh, load_id, version)
-        if seen.failed:
-            rejects = transform.rejected_rows(mapped)
-            rejects.withColumn("id", F.col("id").cast("long")).write.mode("overwrite").parquet(
-                f"{self.root}/errors/{self._error_folder(job.job_id, load_id)}"
-            )
+        errors = f"{self.root}/errors/{self._error_folder(job.job_id, load_id)}"
+        if seen.failed or path_exists(self.spark, errors):
+            rejects = transform.rejected_rows(mapped).withColumn("id", F.col("id").cast("long"))
+            rejects.write.mode("overwrite").parquet(errors)
         return {
             "processed": seen.processed,
             "success": inserted,
