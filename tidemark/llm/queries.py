@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, toxicity
+import public_tokenizers
+
+from tidemark.llm import exact_dedup, jaccard, mixing, packing, toxicity
 from tidemark.llm.common import read_table
 
 
@@ -10,6 +12,21 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark, sf_dir):
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.withColumnsRenamed({"_copy": "copy", "_order": "order_key"})
+
+
+def op7_jaccard_join(spark, sf_dir):
+    documents = read_table(spark, sf_dir, "documents")
+    return jaccard.near_duplicates(documents, n=3, num=90, den=100).drop("kept")
+
+
+def op8_packing(spark, sf_dir):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
+
+
 def op9_toxicity(spark, sf_dir):
     documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     return toxicity.toxicity(documents, labels)
@@ -17,9 +34,13 @@ def op9_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_mixing": op5_mixing,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op5_mixing": mixing.ORACLE,
 }
