@@ -3,20 +3,58 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, jaccard, mixing, packing, toxicity
-from tidemark.llm.common import read_table
+from tidemark.llm import (
+    chat,
+    embeddings,
+    exact_dedup,
+    html,
+    jaccard,
+    mixing,
+    packing,
+    secrets,
+    token_counts,
+    toxicity,
+)
+from tidemark.llm.common import Scratch, read_table
+
+# Fixed value: the conversation that is formatted besides those of the table.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_html_extraction(spark, sf_dir):
+    return html.extract(read_table(spark, sf_dir, "pages"))
 
 
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scans(spark, sf_dir):
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark, sf_dir):
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.withColumnsRenamed({"_copy": "copy", "_order": "order_key"})
 
 
+def op6_chat_formatting(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    one = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat.read_back(chat.format_chats(rows.unionByName(one), *ranks), *ranks)
+
+
 def op7_jaccard_join(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents")
     return jaccard.near_duplicates(documents, n=3, num=90, den=100).drop("kept")
@@ -32,12 +70,24 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity(documents, labels)
 
 
+def op10_token_counts(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    files = token_counts.write_blocks(read_table(spark, sf_dir, "documents"), *ranks)
+    files = Scratch(spark, "token-files").stage(files, "blocks")
+    return token_counts.count_tokens(files, separator=50_256)
+
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_secret_scans": op3_secret_scans,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {
