@@ -26,9 +26,12 @@ BLOCK_CHARS = 4096
 
 
 def _named(scratch: Scratch, values: DataFrame, what: str) -> DataFrame:
-    """Distinct rows in sort order with an integer ``name``; staged, so that names stay fixed."""
-    columns = values.columns
-    ordered = values.distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
+    """Distinct rows with an integer ``name``; staged, so that names stay fixed.
+
+    Equal rows meet in one partition, which is sorted and numbered in order; no two partitions
+    share a number.
+    """
+    ordered = values.distinct().sortWithinPartitions(*values.columns)
     return scratch.stage(ordered.withColumn("name", F.monotonically_increasing_id()), what)
 
 
