@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,13 @@ def ship(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what Python makes of one stays small beside the batch itself."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class Scratch:
     """Staged tables of one call, in the folder that all executors share.
 
@@ -52,3 +61,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def plain_text(column: str = "text"):
     """Null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+ship(__name__)

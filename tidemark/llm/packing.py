@@ -8,6 +8,7 @@ sequences, of which at most the last few stay unfilled, so dealing costs next to
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import Scratch, plain_text, ship
+from tidemark.llm.common import Scratch, plain_text, ship, slices
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
 CACHE_WORDS = 1_000_000
-PUNCTUATION = frozenset(".,;:!?")
+# ASCII characters that are neither letters nor digits; the apostrophe begins parts of its own.
+SYMBOLS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+ASCII_PARTS = re.compile("[a-zA-Z]+|[0-9]|[^a-zA-Z0-9]+")
 WORD_END = "</w>"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -33,7 +36,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of
     its words in a row.  New words are encoded together and told apart by the tokens that end a
-    word, where it is plain how many of these a word has; the rest one by one.
+    word, where it is plain how many of these a word has; the rest one by one, as are all of a
+    group whose total differs.
     """
 
     def __init__(self, path: str):
@@ -43,38 +47,40 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.ids: dict[bytes, bytes] = {}
 
+    def _parts(self, text: str) -> int:
+        """Into how many parts the tokenizer splits a word before merging; 0: not plain."""
+        if text.isalpha():
+            return 1
+        core = text.rstrip(SYMBOLS)
+        if core.isalpha() and "<|" not in text:
+            return 2
+        if text.isascii() and "'" not in text and "<|" not in text:
+            return len(ASCII_PARTS.findall(text))
+        return 0
+
+    def _encode_one(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.ids) + len(words) > CACHE_WORDS:
-            self.ids.clear()
-        plain: list[bytes] = []
-        texts: list[str] = []
-        parts: list[int] = []
-        for word in words:
-            text = word.decode()
-            if text.isalpha():
-                n = 1
-            elif text[-1] in PUNCTUATION and text[:-1].isalpha():
-                n = 2
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                self.ids[word] = np.array(ids, "<u4").tobytes()
-                continue
-            plain.append(word)
-            texts.append(text)
-            parts.append(n)
+        texts = {word: word.decode() for word in words}
+        parts = {word: self._parts(text) for word, text in texts.items()}
+        plain = [word for word, n in parts.items() if n]
+        for word, n in parts.items():
+            if not n:
+                self.ids[word] = self._encode_one(word)
         for at in range(0, len(plain), 2000):
-            group = slice(at, at + 2000)
-            text = " ".join(texts[group])
+            group = plain[at : at + 2000]
+            text = " ".join([texts[word] for word in group])
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             last = np.flatnonzero(self.ends[ids])
-            cuts = np.cumsum(parts[group])
+            cuts = np.cumsum([parts[word] for word in group])
             if len(last) != cuts[-1]:
-                raise ValueError("tokens that end a word do not match the words")
-            stops = (last[cuts - 1] + 1) * 4
-            data, begin = ids.tobytes(), 0
-            for word, stop in zip(plain[group], stops.tolist()):
-                self.ids[word] = data[begin:stop]
-                begin = stop
+                self.ids.update((word, self._encode_one(word)) for word in group)
+                continue
+            stops = ((last[cuts - 1] + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.ids.update(zip(group, map(data.__getitem__, map(slice, [0, *stops], stops))))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -96,7 +102,7 @@ def _pieces(path: str, size: int, with_ids: bool):
         encoder = _encoders.setdefault(path, None) or WordEncoder(path)
         _encoders[path] = encoder
         end = np.array([0], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 data = encoder.encode(text.as_py()) + end

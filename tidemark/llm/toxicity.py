@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.common import Scratch, plain_text, ship
+from tidemark.llm.common import Scratch, plain_text, ship, slices
 
 FEATURE_BITS = 20
 MAX_LABELLED = 20_000
@@ -72,7 +72,7 @@ def _distinct(index: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts, labels = batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
         rows = [np.zeros(0, "i4")] * len(texts)
         for start, index, text in _features(texts):
