@@ -22,7 +22,7 @@ from tidemark.llm.common import Scratch, plain_text, ship, slices
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000  # about 120 MB
 # ASCII characters that are neither letters nor digits; the apostrophe begins parts of its own.
 SYMBOLS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 ASCII_PARTS = re.compile("[a-zA-Z]+|[0-9]|[^a-zA-Z0-9]+")
@@ -119,6 +119,7 @@ def _pieces(path: str, size: int, with_ids: bool):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], names
             )
+        encoder.ids.clear()  # the worker goes on to other stages
 
     return run
 

@@ -22,7 +22,7 @@ from tidemark.llm import hashing
 from tidemark.llm.common import Scratch, plain_text, ship, slices
 
 FEATURE_BITS = 20
-MAX_LABELLED = 20_000
+MAX_LABELLED = 12_000
 # Words, neighbours, and skip-grams over one word.
 GAPS = ((), (1,), (2,))
 BIAS = -1
@@ -90,7 +90,7 @@ def _fit(settings: Settings):
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels = [], []
         for batch in batches:
-            rows += [np.asarray(x, "i8") for x in batch.column("features").to_numpy(False)]
+            rows += list(batch.column("features").to_numpy(False))
             labels += batch.column("toxic").to_pylist()
         size = (1 << FEATURE_BITS) + 1  # the last place is the bias
         z, n = np.zeros(size), np.zeros(size)
@@ -106,7 +106,7 @@ def _fit(settings: Settings):
 
         for _ in range(settings.epochs):
             for features, label in zip(rows, labels):
-                at = np.append(features, size - 1)
+                at = np.append(features, size - 1).astype("i8")
                 w = weights(at)
                 guess = 1 / (1 + np.exp(-np.clip(w.sum() + prior, -30, 30)))
                 gradient = guess - label
