@@ -1,11 +1,12 @@
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import JobStateError, Migration
-from tidemark.operators import batches
+from tidemark.operators import batches, ledger
 from tidemark.plans.jobs import Source
 from tidemark.plans.spec import PATIENT_NAMESPACE
 from tidemark.sources import integer_series, patients
@@ -247,7 +248,7 @@ def test_rows_that_exist_are_skipped_and_unchanged(clinic):
     changed = spec_target.withColumn("kota", F.lit("elsewhere"))
     from tidemark.operators.load import insert_if_absent
 
-    fresh = insert_if_absent(changed, spec_target, "pasien_uuid", batch_rows=18)
+    fresh = insert_if_absent(changed, spec_target, "pasien_uuid", find_first=True)
     assert fresh.count() == 0
     assert version == 1
     assert clinic.migration.target_rows("pasien").orderBy("pasien_uuid").collect() == before
@@ -289,3 +290,43 @@ def test_slices_equal_one_pass(spark, tmp_path):
         )
     ).first()
     assert tuple(folded) == (3, 60, 54, 6, 1, 60)
+
+
+def test_a_stopped_run_writes_no_more_and_stays_stopped(clinic):
+    clinic.add(1, 20)
+    migration = clinic.migration
+    job_id = clinic.create(batch_size=5)
+    asked = []
+
+    def stop_after_one_slice():
+        asked.append(1)
+        if len(asked) == 2:
+            migration.stop_job(job_id)
+        return False
+
+    job = migration.start_job(job_id, stop_after_one_slice)
+    assert (job.status, job.processed) == ("paused", 5)
+    other = clinic.create()
+    migration.mark_running(job_id)
+    with pytest.raises(JobStateError):
+        migration.start_job(other)
+
+
+def test_the_ledger_of_a_clean_job_has_no_bad_change(clinic, spark):
+    clinic.add(1, 20)
+    clinic.run()
+    assert ledger.bad_transitions(spark, clinic.migration.events()).count() == 0
+
+
+def test_parallel_writers_keep_every_event(clinic):
+    migration = clinic.migration
+    before = migration.events().count()
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: migration.mark(f"job-{k}", "pending"), range(12)))
+    assert migration.events().count() == before + 12
+
+
+def test_a_job_of_rejects_alone_rolls_back_nothing(clinic):
+    clinic.add(10, 10)
+    job = clinic.run()
+    assert job.failed == 1 and clinic.migration.rollback_job(job.job_id) == 0

@@ -23,7 +23,7 @@ def expected(rows, existing):
 
 
 @pytest.mark.parametrize("unique", [False, True])
-@pytest.mark.parametrize("strategy", ["plan", "small", "found few", "found many"])
+@pytest.mark.parametrize("strategy", ["plan", "found first"])
 @FEW
 @given(ROWS, st.sets(st.integers(0, 9)))
 def test_every_strategy_gives_the_same_rows(spark, strategy, unique, rows, existing):
@@ -31,12 +31,9 @@ def test_every_strategy_gives_the_same_rows(spark, strategy, unique, rows, exist
         rows = expected(rows, set())
     new = spark.createDataFrame(rows, "k string, v long")
     target = spark.createDataFrame([(k,) for k in existing], "k string")
-    with pytest.MonkeyPatch.context() as patch:
-        if strategy in ("found few", "found many"):
-            patch.setattr(load, "SMALL_BATCH_ROWS", 1 if strategy == "found few" else 0)
-        counted = None if strategy == "plan" else len(rows)
-        got = load.insert_if_absent(new, target, "k", ["v"], batch_rows=counted, unique=unique)
-        assert sorted((int(r.k), r.v) for r in got.collect()) == expected(rows, existing)
+    first = strategy == "found first"
+    got = load.insert_if_absent(new, target, "k", ["v"], find_first=first, unique=unique)
+    assert sorted((int(r.k), r.v) for r in got.collect()) == expected(rows, existing)
 
 
 @FEW
@@ -70,7 +67,7 @@ def test_a_hot_key_leaves_each_map_task_once(spark, plan_of):
 def test_unique_rows_into_an_empty_target_need_no_shuffle(spark, plan_of):
     rows = spark.range(1_000).withColumnRenamed("id", "k")
     plan = plan_of(
-        load.insert_if_absent(rows, rows.limit(0), "k", batch_rows=1_000, unique=True)
+        load.insert_if_absent(rows, rows.limit(0), "k", find_first=True, unique=True)
     )
     assert "Exchange" not in plan
 
@@ -176,5 +173,5 @@ def test_catalog_table_enforces_limits(spark):
 def test_derived_keys_are_not_computed_to_test_for_null(spark, plan_of):
     rows = spark.range(10).select(uuid5(F.col("id"), PATIENTS.namespace).alias("k"))
     nullable = rows.select(F.nullif("k", F.lit("x")).alias("k"))
-    plan = plan_of(load.absent_keys(nullable, rows, "k", batch_rows=10))
+    plan = plan_of(load.absent_keys(nullable, rows, "k", find_first=True))
     assert "isnotnull(coalesce" not in plan

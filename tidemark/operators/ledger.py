@@ -122,7 +122,8 @@ def bad_transitions(
     """
     job, seq, status = columns.job, columns.seq, columns.status
     chunk = whole_part(F.col(seq), chunk_width).alias("_chunk")
-    chunked = events.select(job, seq, status, chunk)
+    # Events that report something else carry no status and are no change of it.
+    chunked = events.where(F.col(status).isNotNull()).select(job, seq, status, chunk)
     inside = Window.partitionBy(job, "_chunk").orderBy(seq)
     chunk_ends = chunked.groupBy(job, "_chunk").agg(latest_status(columns).alias("_end"))
     carried = chunk_ends.select(

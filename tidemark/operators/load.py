@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 from tidemark.session import stage
 
-# Keys are broadcast only when they were counted and are at most this many (about 60 MB).
-SMALL_BATCH_ROWS = 500_000
-
 
 def first_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
     """One row per key, the first in ``order``; make ``order`` total for a repeatable choice.
@@ -23,30 +20,19 @@ def first_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
 
 
 def absent_keys(
-    rows: DataFrame, existing: DataFrame, key: str, batch_rows: int | None = None
+    rows: DataFrame, existing: DataFrame, key: str, find_first: bool = False
 ) -> DataFrame:
     """Rows whose key the target lacks; only the key column of the target is read.
 
-    Without ``batch_rows`` the result is one lazy plan: both sides are shuffled by key unless
-    Spark finds one small.  With it, the counted size of ``rows``, the rows themselves mostly need
-    not be shuffled: the keys the target already has are found first, from the key columns alone
-    (broadcasting a small batch to the target), and are broadcast if they turn out to be few.
+    With ``find_first`` the keys that the target already has are found from the key columns alone
+    and staged, so where there are none the rows need not be shuffled at all.  No side is forced:
+    adaptive execution sees the bytes of both and picks the join, at every size.
     """
     keys = existing.select(key)
-    if batch_rows is None:
+    if not find_first:
         return rows.join(keys, key, "left_anti")
-    if existing.isEmpty():
-        return rows
-    batch_keys = _never_null(rows.select(key))
-    if batch_rows <= SMALL_BATCH_ROWS:
-        # At most one row per key of the batch, so the bound holds for what is found as well.
-        found = keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
-        return rows.join(F.broadcast(found), key, "left_anti")
-    found = stage(batch_keys.join(keys, key, "left_semi").distinct(), "found-keys")
-    n_found = found.count()
-    if n_found == 0:
-        return rows
-    return rows.join(F.broadcast(found) if n_found <= SMALL_BATCH_ROWS else found, key, "left_anti")
+    found = stage(_never_null(rows.select(key)).join(keys, key, "left_semi").distinct(), "found-keys")
+    return rows if found.isEmpty() else rows.join(found, key, "left_anti")
 
 
 def _never_null(keys: DataFrame) -> DataFrame:
@@ -62,21 +48,19 @@ def insert_if_absent(
     existing: DataFrame,
     key: str,
     order: list | None = None,
-    batch_rows: int | None = None,
+    find_first: bool = False,
     unique: bool = False,
 ) -> DataFrame:
     """The rows to append: first of each key, where the target lacks the key.
 
     Without ``order`` the first row is the smallest by all columns.  ``unique`` says that no key
     repeats within ``rows`` (count it, do not guess), which saves the deduplication; with
-    ``batch_rows`` too, a load into an empty or disjoint target writes without a wide shuffle.
-    A large batch with repeated keys is shuffled once, for the deduplication and the anti join.
+    ``find_first`` too, a load into an empty or disjoint target writes without a wide shuffle.
+    A batch with repeated keys is shuffled once, for the deduplication and the anti join.
     """
     if unique:
-        return absent_keys(rows, existing, key, batch_rows)
+        return absent_keys(rows, existing, key, find_first)
     order = order or [c for c in rows.columns if c != key] or [key]
-    if batch_rows is not None and (batch_rows <= SMALL_BATCH_ROWS or existing.isEmpty()):
-        return first_per_key(absent_keys(rows, existing, key, batch_rows), key, order)
     return absent_keys(first_per_key(rows, key, order), existing, key)
 
 

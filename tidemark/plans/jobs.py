@@ -119,9 +119,9 @@ class Migration:
         self.root = root.rstrip("/")
         self.sources = sources
         self._last_seq = 0
-        for folder, schema in (("ledger", EVENTS), (f"errors/{self._error_folder()}", ERROR_FILE)):
+        for folder, schema in (("ledger/none", EVENTS), (f"errors/{self._error_folder()}", ERROR_FILE)):
             if not path_exists(spark, f"{self.root}/{folder}"):
-                spark.createDataFrame([], schema).write.parquet(f"{self.root}/{folder}")
+                spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{folder}")
 
     # -- jobs ---------------------------------------------------------------------------------
 
@@ -170,11 +170,16 @@ class Migration:
         try:
             status = self._run(job, should_stop)
         except BaseException:
-            self.mark(job_id, "failed")
+            self._end(job_id, "failed")
             raise
-        self.mark(job_id, status)
+        self._end(job_id, status)
         return self.get_job(job_id)
 
+    def _end(self, job_id: str, status: str) -> None:
+        """Record how a run ended, unless somebody has taken the job out of the running state."""
+        if self.get_job(job_id).status == "running":
+            self.mark(job_id, status)
+
     def mark_running(self, job_id: str) -> Row:
         """Take a job that may start into the running state, and return how it was before."""
         job = self.get_job(job_id)
@@ -182,6 +187,9 @@ class Migration:
             raise JobStateError("job is already running")
         if job.status in ("completed", "rolled_back"):
             raise JobStateError(f"a {job.status} job cannot be started again")
+        others = self.jobs_table().where(F.col("target_table") == job.target_table)
+        if not others.where((F.col("job_id") != job_id) & (F.col("status") == "running")).isEmpty():
+            raise JobStateError("another job is writing to this target")
         self.mark(job_id, "running")
         return job
 
@@ -189,7 +197,7 @@ class Migration:
         self._append(job_id, status=status)
 
     def stop_job(self, job_id: str) -> None:
-        """Mark a running job as paused, for one whose driver is gone."""
+        """Take a job out of the running state; its run ends before the next commit."""
         if self.get_job(job_id).status != "running":
             raise JobStateError("job is not running")
         self.mark(job_id, "paused")
@@ -213,7 +221,7 @@ class Migration:
         spec = lookup(job.source_table, job.target_table)
         version = self.target_version(job.target_table)
         target = self.target(spec)
-        rows = target.read(version)
+        rows = target.ensure(version).read(version)
         doomed = rollback.doomed_keys(
             self.spark, spec, job.first_processed_id, job.last_processed_id, ids
         )
@@ -250,7 +258,8 @@ class Migration:
     # -- views --------------------------------------------------------------------------------
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENTS).parquet(f"{self.root}/ledger")
+        events = self.spark.read.option("recursiveFileLookup", "true").schema(EVENTS)
+        return events.parquet(f"{self.root}/ledger")
 
     def jobs_table(self) -> DataFrame:
         """The current state of every job, folded from its events.
@@ -326,7 +335,7 @@ class Migration:
                 self._append(job.job_id, total_records=job.processed + rows.count())
                 ends = self._slice_ends(rows, spec.key, job.batch_size)
             for end in ends:
-                if should_stop():
+                if should_stop() or self.get_job(job.job_id).status != "running":
                     return "paused"
                 piece = extract.after_watermark(rows, spec.key, after)
                 if end is not None:
@@ -393,7 +402,7 @@ class Migration:
                 transform.valid_rows(mapped, spec),
                 target.read(version, without_load=load_id),
                 spec.key_output,
-                batch_rows=n_valid,
+                find_first=True,
                 unique=seen.ids == seen.with_id,
             )
             inserted = target.write_load(fresh, load_id, version)
@@ -417,7 +426,9 @@ class Migration:
         given = {f.name: values.get(f.name) for f in EVENTS if f.name != "at"}
         given |= {"job_id": job_id, "seq": self._last_seq}
         event = self.spark.sql(f"SELECT {NEW_EVENT}", args=given)
-        event.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
+        # A folder per event: writers that share one also share its temporary files.
+        folder = f"{self._last_seq}-{uuid.uuid4().hex}"
+        event.coalesce(1).write.parquet(f"{self.root}/ledger/{folder}")
 
     @staticmethod
     def _error_folder(job_id: str = "none", load_id: str = "none") -> str:

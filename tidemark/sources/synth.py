@@ -129,7 +129,7 @@ def grow(
     before = existing.count()
     in_range = existing.where(F.col(key).between(first, last))
     with run_folder(spark, "growth"):
-        new_ids = absent_keys(ids, in_range, key, batch_rows=total)
+        new_ids = absent_keys(ids, in_range, key, find_first=True)
         patients(new_ids, key).write.mode("append").parquet(location)
     after = spark.read.schema(schema).parquet(location).count()
     return {"before_count": before, "after_count": after, "added": after - before}
