@@ -200,6 +200,51 @@ def test_rows_without_a_key_are_rejected(spark, tmp_path, batch_size):
     assert [r.id for r in clinic.migration.job_errors(job.job_id).collect()] == [None]
 
 
+def test_later_runs_do_not_see_rows_without_a_key(clinic, spark):
+    clinic.add(1, 5)
+    clinic.run()
+    nameless = spark.read.parquet(clinic.location).limit(1)
+    nameless.withColumn("id_pasien", F.lit(None).cast("int")).write.mode("append").parquet(
+        clinic.location
+    )
+    clinic.add(6, 7)
+    assert counters(clinic.run()) == (2, 2, 2, 0, 0)
+
+
+def test_values_beyond_the_limits_are_rejected(clinic, spark):
+    rows = patients(integer_series(spark, 1, 9))
+    long = F.when(F.col("id_pasien") == 4, "9" * 21).otherwise(F.col("no_telepon"))
+    rows.withColumn("no_telepon", long).write.parquet(clinic.location)
+    job = clinic.run()
+    assert counters(job) == (9, 9, 8, 1, 0)
+    error = clinic.migration.job_errors(job.job_id).first()
+    assert (error.id, error.error) == (
+        4, "transform id_pasien=4: telepon holds more than 20 characters"
+    )
+
+
+def test_equal_rejects_spread_over_pages(clinic, spark):
+    clinic.add(1, 1)
+    nameless = spark.read.parquet(clinic.location).withColumn("id_pasien", F.lit(None).cast("int"))
+    nameless.crossJoin(spark.range(1000)).drop("id").write.mode("append").parquet(clinic.location)
+    job = clinic.run()
+    pages = clinic.migration.job_error_pages(job.job_id, page_size=300).collect()
+    assert sorted(p.total for p in pages) == [100, 300, 300, 300]
+
+
+def test_roll_back_works_without_the_source(clinic, spark):
+    clinic.add(1, 20)
+    job = clinic.run()
+
+    def gone(session):
+        raise OSError("the source is gone")
+
+    migration = Migration(spark, clinic.migration.root, {"pasien": Source(gone)})
+    assert migration.rollback_job(job.job_id) == 18
+    changes = ledger.bad_transitions(spark, migration.events())
+    assert changes.count() == 0 and clinic.keys() == []
+
+
 def test_requests_are_checked(clinic):
     with pytest.raises(LookupError):
         clinic.migration.create_job("pasien", "elsewhere")

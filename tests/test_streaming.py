@@ -39,6 +39,7 @@ def test_drains_and_goes_on_with_new_files_only(clinic):
     finish_stream(clinic.migration, job_id, stream(clinic, job_id))
     job = clinic.migration.get_job(job_id)
     assert (job.status, job.processed, job.success) == ("completed", 60, 60)
+    assert (job.total_records, job.percentage) == (60, 100.0)
     loads = clinic.migration.events().where("load_id is not null")
     assert loads.count() == 3  # one file per micro-batch
     assert clinic.keys() == all_keys(1, 60)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.batches import whole_part
+from tidemark.operators.batches import number_rows, whole_part
 
 # The states of a job.
 STATUSES = ["pending", "running", "paused", "completed", "failed", "rolled_back"]
@@ -116,14 +116,17 @@ def bad_transitions(
 ) -> DataFrame:
     """State changes that are not allowed.
 
-    The previous state is looked up within chunks of ``chunk_width`` sequence numbers, so no task
-    holds more than that many events of one job; the last state of each chunk is carried to the
-    next one from a table of one row per job and chunk.
+    The events are numbered in the order of job and ``seq``, and the previous state is looked up
+    within chunks of ``chunk_width`` of them, however far apart their ``seq`` are: no task holds
+    more than that many events of one job.  The last state of each chunk is carried to the next one
+    from a table of one row per job and chunk.
     """
     job, seq, status = columns.job, columns.seq, columns.status
-    chunk = whole_part(F.col(seq), chunk_width).alias("_chunk")
     # Events that report something else carry no status and are no change of it.
-    chunked = events.where(F.col(status).isNotNull()).select(job, seq, status, chunk)
+    changing = events.where(F.col(status).isNotNull()).select(job, seq, status)
+    chunked = number_rows(changing, job, seq).withColumn(
+        "_chunk", whole_part(F.col("row_no"), chunk_width)
+    )
     inside = Window.partitionBy(job, "_chunk").orderBy(seq)
     chunk_ends = chunked.groupBy(job, "_chunk").agg(latest_status(columns).alias("_end"))
     carried = chunk_ends.select(

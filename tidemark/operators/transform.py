@@ -33,7 +33,12 @@ def _output(rows: DataFrame, field: Copy | Merge, strict_nulls: bool) -> Column:
 
 
 def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False) -> Column:
-    """The reject message of a row, null where the row is valid."""
+    """The reject message of a row, null where the row is valid.
+
+    In this order: no key, a required text that is blank, then for each field a value longer than
+    its limit or a missing one that must not be null.  Only limits that a field's own cut does not
+    already keep are looked at.
+    """
     checks = [
         F.when(
             F.col(spec.key).isNull(), F.lit(f"transform {spec.key}=null: the key is missing")
@@ -42,6 +47,7 @@ def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = Fals
     for field in spec.fields:
         if isinstance(field, Merge) and field.required:
             # The merged text is empty when every field is blank, and mostly the first one is not.
+            # Fixed value: the wording of this message.
             blank = reduce(and_, [is_blank(_input(rows, s, strict_nulls)) for s in field.sources])
             names = " and ".join(field.sources)
             count = "both" if len(field.sources) == 2 else "all of"
@@ -49,6 +55,19 @@ def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = Fals
             checks.append(
                 F.when(blank, F.format_string(message, F.col(spec.key).cast("string")))
             )
+    for field in spec.fields:
+        value = _output(rows, field, strict_nulls)
+        limit = spec.limits.get(field.output)
+        problems = []
+        if limit is not None and (field.max_chars is None or field.max_chars > limit):
+            problems.append((F.length(value) > limit, f"holds more than {limit} characters"))
+        if field.output in spec.not_null and not getattr(field, "required", False):
+            problems.append((value.isNull(), "has no value"))
+        for broken, problem in problems:
+            message = f"transform {spec.key}=%s: {field.output} {problem}"
+            checks.append(
+                F.when(broken, F.format_string(message, F.col(spec.key).cast("string")))
+            )
     return F.coalesce(*checks)
 
 

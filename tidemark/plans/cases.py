@@ -70,6 +70,25 @@ PERSON = register(
 )
 
 
+DOCUMENT = TransformSpec(
+    source="documents",
+    target="document",
+    key="doc_id",
+    key_output="document_uuid",
+    namespace=PATIENT_NAMESPACE,
+    description="documents with limits that some of them break",
+    fields=(Copy("text", "body"), Copy("lang", "language"), Copy("source", "origin")),
+    limits={"body": 2_000, "language": 2},
+    not_null=("document_uuid", "origin"),
+)
+
+
+def short_documents_without_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; texts below 200 characters lose their source, so that checks find nulls."""
+    source = F.when(F.length("text") >= 200, F.col("source"))
+    return table(spark, sf_dir, "documents").withColumn("source", source)
+
+
 def person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_person(table(spark, sf_dir, "customer"))
 
@@ -89,9 +108,11 @@ def moved_person(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth purchase stands for a roll-back."""
     event = F.col("event_type")
     status = (
-        F.when(event == "signup", "pending")
+        F.when((event == "purchase") & (F.col("event_id") % 4 == 0), "rolled_back")
+        .when(event == "signup", "pending")
         .when(event == "view", "running")
         .when(event == "click", "paused")
         .when(event == "purchase", "completed")
@@ -262,6 +283,12 @@ def rejected_rows(spark, sf_dir):
     return transform.rejected_rows(mapped_person(spark, sf_dir))
 
 
+def limit_rejects(spark, sf_dir):
+    """Rows that the target's limits and not-null columns refuse, with the first reason."""
+    documents = short_documents_without_source(spark, sf_dir)
+    return transform.rejected_rows(transform.map_rows(documents, DOCUMENT))
+
+
 def surviving_source_rows(spark, sf_dir):
     return transform.surviving_source_rows(person(spark, sf_dir), PERSON)
 
@@ -398,7 +425,7 @@ def constraint_violations(spark, sf_dir):
         table(spark, sf_dir, "part"), "p_partkey", {"p_name": 10, "p_brand": 7}, ("p_type",)
     )
     documents = quality.violations(
-        table(spark, sf_dir, "documents"), "doc_id", {"text": 2_000, "lang": 2}, ("source",)
+        short_documents_without_source(spark, sf_dir), "doc_id", {"text": 2_000, "lang": 2}, ("source",)
     )
     return parts.select(F.lit("part").alias("table_name"), "*").unionByName(
         documents.select(F.lit("documents").alias("table_name"), "*")
@@ -413,7 +440,7 @@ def ledger_latest_state(spark, sf_dir):
 
 
 def ledger_status_times(spark, sf_dir):
-    return ledger.status_times(ledger_events(spark, sf_dir)).drop("rolled_back_at")
+    return ledger.status_times(ledger_events(spark, sf_dir))
 
 
 def ledger_list_by_status(spark, sf_dir):
@@ -534,6 +561,54 @@ def migrate_target(spark, sf_dir):
     return migration.target_rows("customer")
 
 
+def migrate_sliced(spark, sf_dir):
+    """A job in three slices, stopped through the ledger after the first and then taken up again:
+    its state when it stopped, and at the end."""
+    migration = _migration(spark, sf_dir)
+    size = -(-table(spark, sf_dir, "customer").count() // 3)
+    job_id = migration.create_job("customer", "person", batch_size=size)
+    asked = []
+
+    def stop_before_the_second():
+        asked.append(1)
+        if len(asked) == 2:
+            migration.stop_job(job_id)
+        return False
+
+    stopped = migration.start_job(job_id, stop_before_the_second)
+    done = migration.start_job(job_id)
+    columns = ["status", "total_records", "processed", "success", "failed", "skipped",
+               "first_processed_id", "last_processed_id"]
+    states = [tuple(job[c] for c in columns) for job in (stopped, done)]
+    longs = ", ".join(f"{c} long" for c in columns[1:])
+    return spark.createDataFrame(states, f"status string, {longs}")
+
+
+def ensure_orders(spark, sf_dir):
+    """Patients seeded for the orders where the table is missing; a second call leaves them."""
+    location = scratch_path(spark, "ensured")
+    seeded = synth.ensure_table(spark, location, lambda: gen_patients(spark, sf_dir))
+    again = synth.ensure_table(spark, location, lambda: gen_patients(spark, sf_dir))
+    counts = spark.read.parquet(location).agg(F.count("id_pasien").alias("n_rows"))
+    return counts.select(F.lit(seeded).alias("seeded"), F.lit(again).alias("seeded_again"), "n_rows")
+
+
+def stream_by_file(spark, sf_dir):
+    """The customers in four files, one per micro-batch: the loads and the job they add up to."""
+    location = scratch_path(spark, "files")
+    customers = table(spark, sf_dir, "customer")
+    customers.repartition(4).write.parquet(location)
+    migration = _migration(spark, sf_dir)
+    job_id = migration.create_job("customer", "person")
+    files = as_person(file_stream(spark, location, customers.schema, max_files=1))
+    finish_stream(
+        migration, job_id, stream_job(migration, job_id, files, scratch_path(spark, "stream"))
+    )
+    loads = migration.events().agg(F.count_distinct("load_id")).first()[0]
+    job = migration.jobs_table().select("status", "total_records", "processed", "failed", "percentage")
+    return job.withColumn("loads", F.lit(loads).cast("long"))
+
+
 def stream_migrate(spark, sf_dir):
     """The customer files as a stream that is drained into the target."""
     migration = _migration(spark, sf_dir)
@@ -565,6 +640,7 @@ CASES = {
         transform_rename,
         valid_rows,
         rejected_rows,
+        limit_rejects,
         surviving_source_rows,
         truncate_text,
         insert_if_absent,
@@ -594,6 +670,9 @@ CASES = {
         seed_growth_counts,
         migrate_job,
         migrate_target,
+        migrate_sliced,
+        ensure_orders,
         stream_migrate,
+        stream_by_file,
     )
 } | {"trim_unicode": trim_text}

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,7 +151,7 @@ class Migration:
             F.max_by(reached, F.when(done, F.col("created_seq"))).alias("resume_after"),
         ).first()
         if known.active:
-            raise JobStateError("an active job for this source and target already exists")
+            raise JobStateError("this pair has a job that is pending or running: wait for it or stop it")
         job_id = str(uuid.uuid4())
         self._append(
             job_id,
@@ -184,7 +185,7 @@ class Migration:
         """Take a job that may start into the running state, and return how it was before."""
         job = self.get_job(job_id)
         if job.status == "running":
-            raise JobStateError("job is already running")
+            raise JobStateError("this job runs at the moment")
         if job.status in ("completed", "rolled_back"):
             raise JobStateError(f"a {job.status} job cannot be started again")
         others = self.jobs_table().where(F.col("target_table") == job.target_table)
@@ -196,10 +197,14 @@ class Migration:
     def mark(self, job_id: str, status: str) -> None:
         self._append(job_id, status=status)
 
+    def record_total(self, job_id: str) -> None:
+        """Take what was read so far as the job's total, where it is known only at the end."""
+        self._append(job_id, total_records=self.get_job(job_id).processed)
+
     def stop_job(self, job_id: str) -> None:
         """Take a job out of the running state; its run ends before the next commit."""
         if self.get_job(job_id).status != "running":
-            raise JobStateError("job is not running")
+            raise JobStateError("only a running job can be stopped")
         self.mark(job_id, "paused")
 
     def rollback_job(self, job_id: str, ids: DataFrame | None = None) -> int:
@@ -212,9 +217,9 @@ class Migration:
         if job.status in ledger.ACTIVE:
             raise JobStateError(f"cannot roll back a {job.status} job: stop it first")
         if job.status == "rolled_back":
-            raise JobStateError("job is already rolled back")
+            raise JobStateError("its rows were rolled back before")
         if job.dry_run or job.first_processed_id is None:
-            raise JobStateError("job has no processed range to roll back")
+            raise JobStateError("nothing was loaded that could be rolled back")
         others = self.jobs_table().where(F.col("target_table") == job.target_table)
         if not others.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
             raise JobStateError("cannot roll back while another job of the target is active")
@@ -239,7 +244,7 @@ class Migration:
         """Rows of the source range against the rows the job accounts for."""
         job = self.get_job(job_id)
         if job.first_processed_id is None:
-            raise JobStateError("job has not processed any rows yet")
+            raise JobStateError("no range to validate: no row was read so far")
         spec = lookup(job.source_table, job.target_table)
         source = self.sources[spec.source].read(self.spark)
         in_range = extract.key_range(
@@ -278,7 +283,7 @@ class Migration:
     def get_job(self, job_id: str) -> Row:
         job = self.jobs_table().where(F.col("job_id") == job_id).first()
         if job is None:
-            raise LookupError(f"job {job_id} does not exist")
+            raise LookupError(f"the ledger has no job {job_id}")
         return job
 
     def job_errors(self, job_id: str) -> DataFrame:
@@ -287,16 +292,29 @@ class Migration:
         return errors.where(F.col("job_id") == job_id)
 
     def job_error_pages(self, job_id: str, page_size: int = 5_000) -> DataFrame:
-        """The same as JSON arrays of at most ``page_size`` entries, in id order."""
-        entries = self.job_errors(job_id).select("id", "error")
-        paged = batches.assign_batches(entries, "id", "error", batch_size=page_size)
+        """The same as JSON arrays of at most ``page_size`` entries, in id order.
+
+        Rows without a key all have one id and message; their place in the stored files tells them
+        apart, so that they spread over tasks like any others.
+        """
+        entries = self.job_errors(job_id).select(
+            "id", "error", F.monotonically_increasing_id().alias("place")
+        )
+        paged = batches.assign_batches(entries, "id", "error", "place", batch_size=page_size)
         return ledger.error_pages(paged.withColumnRenamed("batch_no", "page"), ["page"])
 
     def target(self, spec: TransformSpec) -> TargetTable:
+        """The target of a pair; the source is asked for the columns only before the first load."""
+        path = f"{self.root}/targets/{spec.target}"
+        if path_exists(self.spark, path):
+            try:
+                stored = self.spark.read.option("recursiveFileLookup", "true").parquet(path)
+                return TargetTable(self.spark, path, stored.select(*spec.target_columns()).schema)
+            except AnalysisException:
+                pass  # a first load that died before it had written a file
         source = self.sources[spec.source].read(self.spark)
         mapped = transform.map_rows(source, spec)
-        schema = transform.valid_rows(mapped, spec).schema
-        return TargetTable(self.spark, f"{self.root}/targets/{spec.target}", schema)
+        return TargetTable(self.spark, path, transform.valid_rows(mapped, spec).schema)
 
     def target_version(self, target_table: str) -> int:
         """The version the ledger points to: the last roll-back decides."""

@@ -52,9 +52,10 @@ TARGET = "person_uuid, full_name, email, market_segment, nation_id, balance"
 LEDGER = """
 ledger AS (
   SELECT user_id AS job_id, event_id AS seq, ts AS "at", value, props,
-         CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'running'
-           WHEN 'click' THEN 'paused' WHEN 'purchase' THEN 'completed'
-           WHEN 'error' THEN 'failed' END AS status
+         CASE WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'rolled_back'
+           WHEN event_type = 'signup' THEN 'pending' WHEN event_type = 'view' THEN 'running'
+           WHEN event_type = 'click' THEN 'paused' WHEN event_type = 'purchase' THEN 'completed'
+           WHEN event_type = 'error' THEN 'failed' END AS status
   FROM events),
 runs AS (
   SELECT job_id AS pair, seq AS run, status, "at" AS created_at,
@@ -188,6 +189,15 @@ ORACLES = {
         FROM person""",
     "valid_rows": f"WITH {PERSON} SELECT {TARGET} FROM valid",
     "rejected_rows": f"WITH {PERSON} SELECT id, error FROM checked WHERE error IS NOT NULL",
+    "limit_rejects": """
+        WITH checked AS (
+          SELECT doc_id, CASE WHEN length(text) > 2000 THEN 'body holds more than 2000 characters'
+                   WHEN length(lang) > 2 THEN 'language holds more than 2 characters'
+                   WHEN coalesce(length(text) < 200, true) OR source IS NULL
+                   THEN 'origin has no value' END AS problem
+          FROM documents)
+        SELECT doc_id AS id, 'transform doc_id=' || doc_id || ': ' || problem AS error
+        FROM checked WHERE problem IS NOT NULL""",
     "surviving_source_rows": f"""
         WITH {PERSON} SELECT person.* FROM person
         WHERE id NOT IN (SELECT id FROM checked WHERE error IS NOT NULL)""",
@@ -252,14 +262,15 @@ ORACLES = {
         UNION ALL SELECT 'documents', doc_id, 'lang', 'too long', length(lang)::INTEGER
         FROM documents WHERE length(lang) > 2
         UNION ALL SELECT 'documents', doc_id, 'source', 'null', NULL::INTEGER
-        FROM documents WHERE source IS NULL""",
+        FROM documents WHERE coalesce(length(text) < 200, true) OR source IS NULL""",
     "ledger_latest_state": f"WITH {LEDGER} SELECT * FROM state",
     "ledger_status_times": f"""
         WITH {LEDGER}
         SELECT job_id, min("at") FILTER (WHERE status = 'running') AS first_started_at,
                max("at") FILTER (WHERE status = 'running') AS started_at,
                max("at") FILTER (WHERE status = 'completed') AS completed_at,
-               max("at") FILTER (WHERE status = 'failed') AS failed_at
+               max("at") FILTER (WHERE status = 'failed') AS failed_at,
+               max("at") FILTER (WHERE status = 'rolled_back') AS rolled_back_at
         FROM ledger GROUP BY job_id""",
     "ledger_list_by_status": f"""
         WITH {LEDGER} SELECT * FROM state WHERE status = 'completed'
@@ -269,11 +280,12 @@ ORACLES = {
           SELECT job_id, seq, status,
                  coalesce(lag(status) OVER (PARTITION BY job_id ORDER BY seq), 'none')
                    AS previous_status
-          FROM ledger)
+          FROM ledger WHERE status IS NOT NULL)
         SELECT job_id, seq, previous_status, status FROM changes
         WHERE previous_status || '>' || status NOT IN (
           'none>pending', 'pending>running', 'running>paused', 'running>completed',
-          'running>failed', 'paused>running', 'failed>running')""",
+          'running>failed', 'paused>running', 'failed>running', 'paused>rolled_back',
+          'completed>rolled_back', 'failed>rolled_back')""",
     "latest_completed": f"""
         WITH {LEDGER}
         SELECT pair, max(run) AS run, arg_max(created_at, run) AS created_at,
@@ -319,5 +331,24 @@ ORACLES = {
         FROM counts, (VALUES (true), (false)) AS d(dry_run)
         UNION ALL SELECT 'completed', false, b, 0, 0, 0, 0, 0, NULL, NULL FROM counts""",
     "migrate_target": f"WITH {PERSON} SELECT {TARGET} FROM valid",
+    "migrate_sliced": f"""
+        WITH {PERSON}, ordered AS (
+          SELECT id, error, row_number() OVER (ORDER BY id) AS n, (count(*) OVER () + 2) // 3 AS size
+          FROM checked),
+        states AS (
+          SELECT status, count(*) AS processed, count(error) AS failed, min(id) AS a, max(id) AS b
+          FROM ordered, (VALUES ('paused'), ('completed')) AS s(status)
+          WHERE n <= size OR status = 'completed' GROUP BY status)
+        SELECT status, (SELECT count(*) FROM person) AS total_records, processed,
+               processed - failed AS success, failed, 0::BIGINT AS skipped,
+               a AS first_processed_id, b AS last_processed_id
+        FROM states""",
+    "ensure_orders": """
+        SELECT true AS seeded, false AS seeded_again, count(o_orderkey) AS n_rows FROM orders""",
     "stream_migrate": f"WITH {PERSON} SELECT {TARGET} FROM valid",
+    "stream_by_file": f"""
+        WITH {PERSON}
+        SELECT 'completed' AS status, count(*) AS total_records, count(*) AS processed,
+               count(error) AS failed, 100::DOUBLE AS percentage, 4::BIGINT AS loads
+        FROM checked""",
 }

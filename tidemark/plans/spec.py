@@ -38,7 +38,8 @@ class TransformSpec:
     namespace: uuid.UUID
     fields: tuple[Copy | Merge, ...]
     description: str = ""
-    # Most characters each target column may hold, and target columns that must have a value.
+    # Most characters each target column may hold, and target columns that must have a value; a
+    # load puts rows that break either into quarantine.
     limits: dict[str, int] = field(default_factory=dict)
     not_null: tuple[str, ...] = ()
     # Extra step before the mapping, for what the fields cannot say.
@@ -57,6 +58,7 @@ class TransformSpec:
 # Fixed value: the namespace that makes a patient's key the same in every run.
 PATIENT_NAMESPACE = uuid.UUID("a1b2c3d4-e5f6-7890-abcd-ef1234567890")
 
+# The names of both tables' columns, the cuts and the limits of the target.
 PATIENTS = TransformSpec(
     source="pasien",
     target="pasien",

@@ -20,7 +20,7 @@ FIRST_DOCTORS = (1, 10_000)
 ROWS_PER_TASK = 500_000
 
 
-def pick(values: list[str], number: Column) -> Column:
+def pick(values: tuple[str, ...], number: Column) -> Column:
     """The entry of ``values`` at ``number`` modulo its length; the last one where there is none."""
     entries = F.array(*[F.lit(v) for v in values])
     return F.coalesce(F.get(entries, (number % len(values)).cast("int")), F.lit(values[-1]))
@@ -31,6 +31,9 @@ def padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
+# The remainders, shifts, texts and dates in the functions below.
+
+
 def phone(number: Column, operators: int, shift: int, digits_shift: int) -> Column:
     operator = (number + shift) % operators + 1
     digits = (number + digits_shift) % 9_000_000 + 1_000_000

@@ -63,12 +63,13 @@ def stream_job(
 
 
 def finish_stream(migration: Migration, job_id: str, query: StreamingQuery) -> None:
-    """Wait for a run that drains its source, and record how it ended."""
+    """Wait for a run that drains its source, and record its total and how it ended."""
     try:
         query.awaitTermination()
     except BaseException:
         migration.mark(job_id, "failed")
         raise
+    migration.record_total(job_id)
     migration.mark(job_id, "completed")
 
 
