@@ -43,7 +43,7 @@ def docs_of(spark, texts, source="s", extra=()):
     rows = [(i, t, "en", source, len(t or "")) for i, t in enumerate(texts)]
     frame = spark.createDataFrame([*rows, *extra], DOCS)
     # Names that the operators use inside.
-    return frame.withColumns({n: F.lit(1) for n in ("_uid", "name", "label", "row", "size", "_copy2")})
+    return frame.withColumns({n: F.lit(1) for n in ("_uid", "name", "label", "row", "size", "copy", "order", "own", "n", "sums")})
 
 
 EDGE = [None, "", " \t\n", "a", "A  b\tc", "abc", LONG, LONG + " tail", LONG, "one two three four five"]
@@ -95,7 +95,13 @@ def test_near_duplicates_edges(spark):
     assert sorted((r.doc_id is None, r.component_id) for r in got) == [(False, 0), (False, 1), (False, 7), (False, 7), (True, 7)]
     rest = jaccard.without_near_duplicates(docs)
     assert rest.columns == docs.columns
-    assert sorted(r.doc_id for r in rest.collect()) == [0, 1, 7, 7]
+    # Two rows of one id and text are two documents of which one stays; empty sets all stay.
+    assert sorted(r.doc_id for r in rest.collect()) == [0, 1, 7]
+    text = " ".join(f"w{i}" for i in range(60))
+    nulls = docs_of(spark, [], extra=[(None, t, None, None, 1) for t in (text, text, text + " x", None, "", "")])
+    assert sorted(len(r.text or "") for r in jaccard.without_near_duplicates(nulls).collect()) in ([0, 0, 0, len(text)], [0, 0, 0, len(text) + 2])
+    once = docs_of(spark, [text, text + " x", "a b c d e f"])
+    assert sorted(r.doc_id for r in jaccard.without_near_duplicates(once).collect()) == [0, 2]
     assert jaccard.near_duplicates(docs.where("false")).count() == 0
 
 
@@ -176,6 +182,10 @@ def test_mixing(spark):
     again = mixing.mix(docs, temperature=0.0, total=600)
     assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
     assert mixing.mix(docs, weights={"big": 1.0}).where("source is null").count() == 0
+    clash = docs.withColumns({"_copy": F.lit("a"), "_order": F.lit("b")})
+    assert sorted(mixing.mix(clash).columns) == sorted(clash.columns)
+    kept = mixing.copies_of(clash).select("row.*")
+    assert kept.columns == clash.columns and {(r._copy, r._order) for r in kept.collect()} == {("a", "b")}
     assert mixing.mix(docs.where("false")).count() == 0
 
 
@@ -264,6 +274,11 @@ def test_toxicity(spark):
     checked = [r for r in got if r.held_out and r.doc_id < 600]
     assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in checked) >= 0.95 * len(checked)
     assert all(r.predicted == 0 for r in got if r.doc_id >= 600)
+    # A thousand rows of one id are one example.
+    model = toxicity.train(docs, labels)
+    many = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(1000).select()))
+    again = toxicity.train(many, labels)
+    assert (model.weights.tolist(), model.bias) == (again.weights.tolist(), again.bias)
     rest = toxicity.without_toxic(docs, labels)
     assert rest.columns == docs.columns
     assert toxicity.toxicity(docs, labels.where("false")).agg(F.sum("predicted")).first()[0] == 0
@@ -281,7 +296,7 @@ PAGE = """<!doctype html><html><head><title>t</title><script>var a = "<p>no</p>"
 def test_html(spark):
     text = "Head & tail\nFirst paragraph of words that go on and on.\nSecond <one> with some more words in it."
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain <words"), (5, "u", "<p>" * 20_000 + "deep"), (5, "u", "<nav>no")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "_chosen": F.lit(1)})
     got = sorted((r.page_id, r.text, r.n_chars) for r in html.extract(pages).collect())
     assert got == [(1, text, len(text)), (2, "", 0), (3, "", 0), (4, "plain <words", 12), (5, "", 0), (5, "deep", 4)]
     assert html.extract(pages.where("false")).count() == 0

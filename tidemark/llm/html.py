@@ -243,7 +243,7 @@ USUAL = {"li": -1.5, "ul": -1.0, "a": -1.0, "div": -0.5, "td": -0.5, "tr": -0.5,
 
 def learn(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Weights:
     """Weights from at most ``max_labelled`` pages that mark their article."""
-    labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    labelled = pages.select("page_id", "html").where(F.col("html").rlike("(?i)<(article|main)[ >]"))
     # Ids alone are sorted, and at most max_labelled of them are broadcast.
     chosen = labelled.select(F.col("page_id").alias("_chosen")).distinct()
     chosen = chosen.orderBy(F.xxhash64("_chosen")).limit(max_labelled)

@@ -175,6 +175,11 @@ def _compare(num: int, den: int):
     return run
 
 
+def label_of(text: Column) -> Column:
+    """What tells texts apart: equal texts have one label."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 class _Join:
     """The steps of one join, with what they stage."""
 
@@ -183,7 +188,7 @@ class _Join:
         self.scratch = Scratch(self.spark, "jaccard")
         self.n, self.num, self.den = n, num, den
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))
-        self.texts = self.texts.withColumn("label", F.unhex(F.md5(F.col("text").cast("binary"))))
+        self.texts = self.texts.withColumn("label", label_of(F.col("text")))
 
     def describe(self) -> DataFrame:
         share = self.spark.sparkContext.broadcast
@@ -245,6 +250,7 @@ class _Join:
         return links
 
     def run(self) -> DataFrame:
+        """A row per document: its id, ``label``, size, component, and whether it stays."""
         rows = self.describe()
         classes = (
             rows.where("size > 0").groupBy("size", "mark").agg(F.min("row").alias("class"))
@@ -269,14 +275,14 @@ class _Join:
         named = classes.join(group, F.col("class") == F.col("node"), "left").select(
             "size", "mark", F.coalesce("component", "class").alias("group")
         )
-        wide = rows.select("doc_id", "size", "mark", "row").join(named, ["size", "mark"], "left")
+        wide = rows.select("doc_id", "label", "size", "mark", "row").join(named, ["size", "mark"], "left")
         wide = wide.withColumn("group", F.coalesce("group", "row"))
         best = wide.groupBy("group").agg(
             F.min("doc_id").alias("component_id"),
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"),
         )
         return wide.join(best, "group").select(
-            "doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id",
+            "doc_id", "label", F.col("size").cast("long").alias("n_shingles"), "component_id",
             (F.col("row") == F.col("best.row")).alias("kept"),
         )
 
@@ -312,17 +318,28 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     with nothing.  Repeated rows link like any equal texts.  A component whose ids are all null
     has a null name.  An empty table gives no rows; other columns are not read.
     """
-    return _Join(docs, n, num, den).run()
+    return _Join(docs, n, num, den).run().drop("label")
 
 
 def without_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One document of each component, with all its columns.
+    """One row of each component, with all its columns, under the rules of :func:`near_duplicates`.
 
-    Rows are told by ``doc_id``: rows that repeat one go or stay together.
+    Of linked rows that agree in ``doc_id`` and text, any one stays; rows with an empty set all
+    stay.  Extra columns are carried whatever their names.
     """
-    found = near_duplicates(docs, n, num, den)
-    keep = found.where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    found = _Join(docs, n, num, den).run().groupBy("doc_id", "label")
+    found = found.agg(F.bool_or("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("n"))
+    keep = scratch.stage(found.where("kept").drop("kept"), "keep")
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("own_id"), label_of(plain_text("row.text")).alias("own")
+    )
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("label"))
+    rows = rows.join(keep, same)
+    if keep.where("n > 1").isEmpty():
+        return rows.select("row.*")
+    again = rows.where("n > 1").dropDuplicates(["own_id", "own"])
+    return rows.where("n <= 1").select("row.*").unionAll(again.select("row.*"))
 
 
 ship(__name__)

@@ -73,38 +73,50 @@ def means(
     )
 
 
-def mix(
+def copies_of(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
     temperature: float = 0.5,
     total: float | None = None,
     seed: str = "mix",
 ) -> DataFrame:
-    """Documents with all their columns, repeated and shuffled, plus ``_copy`` and ``_order``.
+    """Documents repeated and shuffled: ``row`` (all their columns), ``copy`` and ``order``.
 
-    ``_copy`` counts the repeats of a row from 0; ``_order`` is the uniform number that puts it in
+    ``copy`` counts the repeats of a row from 0; ``order`` is the uniform number that puts it in
     its place.  A null source is a source of its own (in ``weights`` it cannot be named, so it gets
     0 there).  A null ``doc_id`` is drawn as an empty one.  Rows that repeat a ``doc_id`` share
     their draw, each is repeated on its own, and the copies are told apart by a further hash of the
-    text only where they tie in order.  An empty table gives no rows.
+    text only where they tie in order.  An empty table gives no rows.  Extra columns are carried
+    whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     table = means(docs, weights, temperature, total)
     table = scratch.stage(
-        table.select(F.col("source").alias("_source"), _distribution(F.col("mean")).alias("_sums")),
+        table.select("source", _distribution(F.col("mean")).alias("sums")),
         "means",
     )
-    same = F.col("source").eqNullSafe(F.col("_source"))
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.source").eqNullSafe(F.col("source"))
     if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    drawn = _uniform(seed, F.col("doc_id"))
-    times = F.size(F.filter("_sums", lambda below: below <= drawn))
+    doc_id = F.col("row.doc_id")
+    drawn = _uniform(seed, doc_id)
+    times = F.size(F.filter("sums", lambda below: below <= drawn))
     copies = F.when(times > 0, F.sequence(F.lit(0), times - 1))
-    rows = docs.join(table, same).withColumn("_copy", F.explode(copies)).drop("_source", "_sums")
-    rows = rows.withColumn(
-        "_order", _uniform(f"{seed} order", F.col("doc_id"), F.col("_copy"))
-    )
-    return rows.repartition("_order").sortWithinPartitions("_order")
+    rows = rows.join(table, same).select("row", F.explode(copies).alias("copy"))
+    rows = rows.withColumn("order", _uniform(f"{seed} order", doc_id, F.col("copy")))
+    return rows.repartition("order").sortWithinPartitions("order")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of :func:`copies_of` with the columns of documents, ``_copy`` and ``_order``.
+
+    Input columns with one of the last two names are replaced.
+    """
+    mixed = copies_of(docs, **options)
+    taken = {"_copy", "_order"}
+    given = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in taken]
+    return mixed.select(*given, F.col("copy").alias("_copy"), F.col("order").alias("_order"))
 
 
 ORACLE = r"""

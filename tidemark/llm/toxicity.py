@@ -131,7 +131,8 @@ def train(
     """Fit on at most ``max_labelled`` rows of ``labels`` (``doc_id, toxic``), by hash of the id.
 
     Rows without id or label are left out; a document labelled twice is toxic if any label says
-    so, and a document that occurs twice is used twice.  With no usable label the model has only a
+    so.  Rows that share an id are one example, with the least of their feature lists, so the sample
+    keeps its bound whatever repeats.  With no usable label the model has only a
     bias, by which every text is clean.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -148,6 +149,7 @@ def train(
     # At most max_labelled rows of twenty bytes are broadcast.
     sample = texts.join(F.broadcast(chosen), "doc_id").select("order", "text", "toxic")
     rows = sample.mapInArrow(_feature_rows, "order long, toxic int, features array<int>")
+    rows = rows.groupBy("order", "toxic").agg(F.min("features").alias("features"))
     rows = scratch.stage(rows, "sample")
     one = rows.coalesce(1).sortWithinPartitions("order", "features").select("toxic", "features")
     found = one.mapInArrow(_fit(settings), "feature long, weight double").toArrow()
