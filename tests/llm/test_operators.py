@@ -302,6 +302,31 @@ def test_html(spark):
     assert html.extract(pages.where("false")).count() == 0
 
 
+MENU = "<html><body><nav><ul>" + '<li><a href="/x">Go there</a></li>' * 6 + '</ul></nav><div class="ad">Buy it</div>'
+FOOT = '</article><div class="related"><ul><li><a>More of it</a></li></ul></div><footer>us</footer></body></html>'
+PARTS = {
+    "advert": ('<h1>A headline of just seven short words</h1><div class="ad">Buy this now at our shop</div><p>Text that follows it here.',
+               "A headline of just seven short words\nText that follows it here."),
+    "lists": ("<p>One of these will do for now:<ul><li>tea</li><li>milk</li></ul><p>And then some more.<ol><li>first</li><li>last one</li></ol>",
+              "One of these will do for now:\ntea\nmilk\nAnd then some more.\nfirst\nlast one"),
+    "table": ("<p>Sizes are below.<table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table>", "Sizes are below.\na\n1\nb\n2"),
+    "link": ('<p>It was said before by somebody else.<p>See <a href="/y">the full report of that year</a></p>', "It was said before by somebody else.\nSee the full report of that year"),
+    "only link": ('<p>It was said before.<p><a href="/y">Report</a></p>', "It was said before.\nReport"),
+}
+
+
+def test_html_keeps_articles_whole(spark):
+    usual = [(i, "u", f"{MENU}<article><h1>Some words</h1><p>{'plain words ' * 40}</p>{FOOT}") for i in range(60)]
+    parts = [(100 + k, "u", f"{MENU}<article>{body}{FOOT}") for k, (body, _) in enumerate(PARTS.values())]
+    parts += [(200, "u", f"{MENU}<div><h1>Not marked as such but one all the same</h1><ul><li>some short item</li><li>and another one</li></ul><div class='ad'>Buy this</div><p>End of it.</div>")]
+    pages = spark.createDataFrame(usual + parts, "page_id long, url string, html string")
+    weights = html.learn(pages.where("page_id < 100"))
+    got = {r.page_id: r.text for r in html.extract(pages, weights).collect()}
+    assert [got[100 + k] for k in range(len(PARTS))] == [text for _, text in PARTS.values()]
+    assert got[200] == "Not marked as such but one all the same\nsome short item\nand another one\nEnd of it."
+    assert got[0] == "Some words\n" + " ".join(["plain words"] * 40)
+
+
 @given(st.lists(st.integers(-5, 5), max_size=30))
 def test_best_region(scores):
     start, end = html.best_region(scores)

@@ -4,8 +4,10 @@ A page becomes a row of tokens: words and tags in order.  Words score positive a
 how much is learnt from labelled pages, that is pages which mark their article by ``<article>`` or
 ``<main>`` themselves, as log odds of a token to stand inside it.  One linear scan finds the
 contiguous region with the largest sum.  Text in elements that by name or class are no content
-(menus, headers, notices, adverts, forms, comments ...) scores negative, and is left out where it
-lies within the region.
+(menus, headers, notices, adverts, forms, comments ...) is left out.  It scores 0 with its tags, so
+that it does not cut what stands around it; only before the first and after the last marked article
+of a page it scores negative.  In a marked article tags score 0 too, and links as other words, so
+an article is kept whole.
 
 Labelled pages are a bounded sample (``max_labelled``, by hash of the page id); what the driver
 gets is one count per known tag.  Extraction is one scan without a shuffle.
@@ -81,7 +83,7 @@ class Weights:
 
 @dataclass
 class Token:
-    """A tag, or the text between two tags."""
+    """A tag, or the text between two tags.  A closing tag stands in the element that it closes."""
 
     tag: str = ""
     text: str = ""
@@ -134,7 +136,7 @@ def tokens(page: str) -> Iterator[Token]:
             continue
         if found[2] is None:
             continue
-        name, closing = found[2].lower(), bool(found[1])
+        name, closing, own = found[2].lower(), bool(found[1]), None
         if name in RAW and not closing:
             if not found[3].endswith("/") or name not in ("svg", "object", "iframe"):
                 end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
@@ -147,6 +149,7 @@ def tokens(page: str) -> Iterator[Token]:
                 if any(other not in INLINE for other, *_ in stack[depth:]):
                     depth = None
             if depth is not None:
+                own = stack[depth][1:]
                 del stack[depth:]
         else:
             if name in CLOSED_BY:
@@ -168,16 +171,31 @@ def tokens(page: str) -> Iterator[Token]:
                 )
                 stack.append((name, *inner))
                 no_content, link, article = inner
-        yield Token(tag=name, closing=closing, no_content=no_content, link=link, article=article)
+        within = own or (no_content, link, article)
+        yield Token(tag=name, closing=closing, no_content=within[0], link=within[1], article=within[2])
 
 
 def _score(token: Token, weights: Weights) -> float:
     if token.tag:
-        return weights.tags.get(token.tag, weights.unknown_tag)
+        in_article = token.article and not token.no_content
+        return 0.0 if in_article else weights.tags.get(token.tag, weights.unknown_tag)
     n = len(html.unescape(token.text).split())
     if token.no_content:
         return n * weights.other_word
-    return n * (weights.link_word if token.link else weights.word)
+    return n * (weights.link_word if token.link and not token.article else weights.word)
+
+
+def scores(found: list[Token], weights: Weights) -> list[float]:
+    """Scores of a page's tokens."""
+    marked = [
+        at for at, t in enumerate(found)
+        if t.article and not t.no_content and t.text and not t.text.isspace()
+    ]
+    first, last = (marked[0], marked[-1]) if marked else (0, len(found))
+    return [
+        0.0 if t.no_content and first <= at <= last else _score(t, weights)
+        for at, t in enumerate(found)
+    ]
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -196,7 +214,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, one a line, each with its white space made single blanks."""
     found = list(tokens(page or ""))
-    start, end = best_region([_score(t, weights) for t in found])
+    start, end = best_region(scores(found, weights))
     blocks: list[str] = []
     parts: list[str] = []
     for token in [*found[start:end], Token(tag="p")]:
@@ -221,7 +239,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 side = inside if token.article and not token.no_content else outside
                 if not token.tag:
                     side["link_word" if token.link else "word"] += len(token.text.split())
-                elif token.tag in KNOWN_TAGS and token.tag not in ARTICLE:
+                elif token.tag in KNOWN_TAGS and not token.no_content:
                     side[token.tag] += 1
     names = sorted(inside | outside)
     yield pa.RecordBatch.from_pydict(
@@ -257,20 +275,28 @@ def learn(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Weights:
         .collect()  # one row per known tag
     )
     seen = {r.token: (r.inside, r.outside) for r in counts}
-    all_in = sum(i for i, _ in seen.values()) + 1
-    all_out = sum(o for _, o in seen.values()) + 1
+    words = ("word", "link_word")
+    of_words = [seen.get(x, (0, 0)) for x in words]
+    of_tags = [n for x, n in seen.items() if x not in words]
 
-    def odds(token: str, usual: float) -> float:
+    def odds(token: str, usual: float, among: list[tuple[int, int]]) -> float:
         i, o = seen.get(token, (0, 0))
-        share_in = (i + PRIOR * math.exp(usual)) / all_in
-        share_out = (o + PRIOR) / all_out
-        return math.log(share_in / share_out) if i + o else usual
+        share_in = (i + PRIOR * math.exp(usual)) / (sum(n for n, _ in among) + 1)
+        share_out = (o + PRIOR) / (sum(n for _, n in among) + 1)
+        return math.log(share_in / share_out)
+
+    def tag_odds(tag: str) -> float:
+        # What no marked article holds may stand in an unmarked one all the same.
+        usual = USUAL.get(tag, -0.05)
+        return odds(tag, usual, of_tags) if seen.get(tag, (0, 0))[0] else usual
 
     low, high = TAG_BOUNDS
-    tags = {t: min(high, max(low, odds(t, USUAL.get(t, -0.05)))) for t in sorted(KNOWN_TAGS)}
+    tags = {t: min(high, max(low, tag_odds(t))) for t in sorted(KNOWN_TAGS)}
+    every = of_words + of_tags
+    given = {x for x in words if sum(seen.get(x, (0, 0)))}
     return Weights(
-        word=max(0.5, min(2.0, odds("word", 1.0))),
-        link_word=max(-2.0, min(-0.1, odds("link_word", -0.5))),
+        word=max(0.5, min(2.0, odds("word", 1.0, every) if "word" in given else 1.0)),
+        link_word=max(-2.0, min(-0.1, odds("link_word", -0.5, every) if "link_word" in given else -0.5)),
         tags=tags,
     )
 
