@@ -189,6 +189,33 @@ def test_mixing(spark):
     assert mixing.mix(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("mean", [0.5, 700.0, 1_000.0, 10_000.0])
+def test_draws_are_poisson_at_any_mean(spark, mean):
+    n = 1500
+    rows = spark.range(n).withColumn("mean", F.lit(mean)).withColumn("parts", mixing._parts(F.col("mean")))
+    rows = rows.withColumn("sums", mixing._distribution(F.col("mean") / F.col("parts")))
+    got = rows.select(mixing._draw(F.col("sums"), F.col("parts"), "mix", F.col("id")).alias("times"))
+    got = np.sort([r.times for r in got.collect()])
+    most = int(mean + 40 * math.sqrt(mean) + 40)
+    chance = np.exp([k * math.log(mean) - mean - math.lgamma(k + 1) for k in range(most)])
+    known = np.cumsum(chance)[got]
+    # Kolmogorov-Smirnov at one in a thousand; on steps, of the upper ends only.
+    assert np.abs(np.searchsorted(got, got, "right") / n - known).max() < 1.95 / math.sqrt(n)
+    assert abs(got.mean() - mean) < 4 * math.sqrt(mean / n)
+    assert 0.85 < got.var() / mean < 1.15
+
+
+def test_mixing_of_a_rare_source_with_a_large_share(spark):
+    docs = docs_of(spark, ["x"] * 300, "big").unionByName(docs_of(spark, ["y"], "rare"))
+    for held in (mixing.BROADCAST_BYTES, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(mixing, "BROADCAST_BYTES", held)
+            out = mixing.mix(docs, weights={"big": 1.0, "rare": 4.0}, total=2000)
+            counts = {r.source: (r.n, r.copies) for r in out.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("_copy").alias("copies")).collect()}
+        assert abs(counts["rare"][0] - 1600) < 160 and counts["rare"][0] == counts["rare"][1]
+        assert abs(counts["big"][0] - 400) < 80
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="<[\\|/s>INST]SY a\n퟿", max_size=30))
 def test_escape_round_trip(text):

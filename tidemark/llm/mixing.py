@@ -3,12 +3,14 @@
 Every document is repeated a Poisson number of times, with the mean its source needs to reach its
 target share.  The Poisson value is the inverse of the distribution at a uniform number that a
 keyed hash of the document gives, so it depends on nothing but seed, document and mean: a task
-that runs again draws the same.  The copies are dealt over all partitions by a second hash and
+that runs again draws the same.  A mean above ``PART_MEAN`` is split into equal parts, each with a
+number of its own, as the sum of Poisson values is one of the summed mean; the distribution of a
+large mean would start below the smallest double.  The copies are dealt over all partitions by a second hash and
 sorted by it within them, which is a shuffle of the whole corpus.
 
 Sizes of sources come from one aggregate with partial sums.  The table of means has a row per
-source; it is broadcast only if it was counted to be within ``BROADCAST_SOURCES`` rows, else the
-means are joined by a shuffle of ids.  No step groups documents by source, so a source with a
+source; it is broadcast only if its names and arrays were added up to be within
+``BROADCAST_BYTES``, else the means are joined by a shuffle of ids.  No step groups documents by source, so a source with a
 third of all rows loads no single task.
 """
 
@@ -19,7 +21,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch
 
-BROADCAST_SOURCES = 10_000  # rows of a name and an array: a few MB
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 64  # of a row besides its name and array
+PART_MEAN = 500.0  # exp(-mean) is exact to the last digits up to 708
 UNIT = 2.0**-52
 
 
@@ -30,6 +34,22 @@ def _uniform(seed: str, *columns: Column) -> Column:
     return (bits + 0.5) * UNIT
 
 
+def _parts(mean: Column) -> Column:
+    """Into how many equal parts a mean is split."""
+    return F.greatest(F.ceil(mean / PART_MEAN), F.lit(1)).cast("int")
+
+
+def _draw(sums: Column, parts: Column, seed: str, doc_id: Column) -> Column:
+    """The Poisson value of a document: the sum of a draw for each part."""
+
+    def below(drawn: Column) -> Column:
+        return F.size(F.filter(sums, lambda total: total <= drawn))
+
+    numbers = F.transform(F.sequence(F.lit(1), parts - 1), lambda k: _uniform(f"{seed} part", doc_id, k))
+    more = F.aggregate(numbers, F.lit(0), lambda times, drawn: times + below(drawn))
+    return below(_uniform(seed, doc_id)) + F.when(parts > 1, more).otherwise(0)
+
+
 def _distribution(mean: Column) -> Column:
     """Cumulative probabilities of 0, 1, 2 ... far into the tail (16 deviations and 30)."""
     ends = F.ceil(mean + 16 * F.sqrt(mean)).cast("int") + 30
@@ -92,16 +112,19 @@ def copies_of(
     scratch = Scratch(docs.sparkSession, "mix")
     table = means(docs, weights, temperature, total)
     table = scratch.stage(
-        table.select("source", _distribution(F.col("mean")).alias("sums")),
+        table.select("source", _parts(F.col("mean")).alias("parts"), "mean").select(
+            "source", "parts", _distribution(F.col("mean") / F.col("parts")).alias("sums")
+        ),
         "means",
     )
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.source").eqNullSafe(F.col("source"))
-    if table.count() <= BROADCAST_SOURCES:
+    name = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0))
+    held = table.agg(F.sum((ROW_BYTES + name + 8 * F.size("sums")).cast("long"))).first()[0] or 0
+    if held <= BROADCAST_BYTES:
         table = F.broadcast(table)
     doc_id = F.col("row.doc_id")
-    drawn = _uniform(seed, doc_id)
-    times = F.size(F.filter("sums", lambda below: below <= drawn))
+    times = _draw(F.col("sums"), F.col("parts"), seed, doc_id)
     copies = F.when(times > 0, F.sequence(F.lit(0), times - 1))
     rows = rows.join(table, same).select("row", F.explode(copies).alias("copy"))
     rows = rows.withColumn("order", _uniform(f"{seed} order", doc_id, F.col("copy")))
