@@ -148,6 +148,27 @@ def test_entropy_windows_equal_brute_force(spark):
     assert all([tuple(x) for x in r.spans] == entropy_cover(r.s, of) for r in got)
 
 
+def test_secrets_by_entropy_after_delimiters_and_of_every_class(spark):
+    upper, short = "9F86D081884C7D659A2FEAA0C55AD015", "0f9e8d7c6b5a49382716"
+    lower, letters = "k3jx9qz7vw2mt5rp8ynb4hdg6lcs", "qWzRtYpLkJhGfDsAxCvBnMeUiO"
+    base64 = "aB3dE6gH9jK2mN5pQ8sT1vW4yZ=="
+    texts = [
+        f"CLIENT={upper}", f"x={short}", f'x:"{short}"', f"mail key-{lower} end", f"v={lower}", letters, f"k='{letters}'",
+        f"PADDED={base64}", "Zm9vYmFyMTIzNDU2Nw== x", f"docs/example/some/quite/quite/quite/long/zzzzzzzzzzzzzzzzzzzzzzzzzzz/{base64}", f"{base64[:12]}Example{base64[12:]}",
+        "sha256-" + base64 * 1 + " Donaudampfschifffahrtsgesellschaft some_long_snake_case_name_of_2 https://a.b/some/path/of-2020/with-many-words",
+    ]
+    got = [r.spans for r in secrets.find_secrets(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    of = {c.name.removeprefix("entropy_"): c for c in secrets.CLASSES}
+    want = [("key", 7, upper), ("hex", 2, short), ("hex", 3, short), ("lower", 9, lower), ("lower", 2, lower),
+            ("letters", 0, letters), ("letters", 3, letters), ("text", 7, base64), ("text", 0, texts[8][:20])]
+    for spans, (kind, at, string) in zip(got, want):
+        parts = entropy_cover(string, of[kind])
+        assert parts and spans == ",".join(f"entropy_{kind}:{at + a}:{at + b}" for a, b in parts)
+    start, stop = map(int, got[9].split(":")[1:])  # the placeholder is outside of the suspicious part
+    assert got[9].startswith("entropy_text:") and start > 12 and stop == len(texts[9])
+    assert got[10:] == ["", ""]
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((12, 16))

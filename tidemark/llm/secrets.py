@@ -34,6 +34,8 @@ class CharClass:
     """Strings over one alphabet, which must hold every kind of character in ``needs``.
 
     A window of ``window`` characters is suspicious from ``bits`` of Shannon entropy per character.
+    A string ends where the next character is none of ``inside``.  If the alphabet holds ``=``,
+    this stands only at the end, as padding.
     """
 
     name: str
@@ -41,16 +43,22 @@ class CharClass:
     needs: tuple[str, ...]
     window: int
     bits: float
+    inside: str = "A-Za-z0-9"
 
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CLASSES = (
     CharClass("entropy_hex", DIGITS + "abcdef", ("[0-9]", "[a-f]"), 20, 3.0),
     CharClass("entropy_key", DIGITS + UPPER, ("[0-9]", "[A-Z]"), 20, 3.4),
-    CharClass("entropy_text", DIGITS + LOWER + UPPER + "+/_=-", ("[0-9]", "[a-z]", "[A-Z]"), 20, 3.7),
+    CharClass("entropy_text", DIGITS + LOWER + UPPER + "+/_=-", ("[0-9]", "[a-z]", "[A-Z]"), 20, 3.7, r"A-Za-z0-9+/_\-"),
+    CharClass("entropy_lower", DIGITS + LOWER, ("[0-9]", "[g-z]"), 20, 3.5),
+    # Three changes from lower to upper case tell keys from most names.
+    CharClass("entropy_letters", LOWER + UPPER, ("[a-z][A-Z]+[a-z]+[A-Z]+[a-z]+[A-Z]",), 20, 3.7, "A-Za-z0-9+/"),
 )
-# Candidates that are no secrets: placeholders of documentation, and subresource digests.
-ALLOWED = ("(?i)example", "(?i)placeholder", "(?i)^sha(256|384|512)-", r"^(.)\1*$")
+# What is no secret: suspicious parts with a placeholder of documentation, and whole candidates
+# that are subresource digests or one character.
+ALLOWED = ("(?i)example", "(?i)placeholder")
+ALLOWED_WHOLE = ("(?i)^sha(256|384|512)-", r"^(.)\1*$")
 
 
 def _spans(text: Column, pattern: str, kind_no: int, kind: str, valid) -> Column:
@@ -130,14 +138,17 @@ def entropy_spans(string: Column, of: CharClass) -> Column:
 
 
 def _entropy(text: Column, of: CharClass, kind_no: int, allowed: tuple[str, ...]) -> Column:
-    letters = of.alphabet.replace("-", r"\-")
-    pattern = f"(?<![A-Za-z0-9+/_=-])[{letters}]{{{of.window},}}(?![A-Za-z0-9+/_=-])"
+    letters, size = of.alphabet.replace("-", r"\-").replace("=", ""), of.window
+    string = f"[{letters}]{{{size},}}"
+    if "=" in of.alphabet:
+        string = f"(?:{string}={{0,2}}|[{letters}]{{{size - 1}}}={{1,2}}|[{letters}]{{{size - 2}}}==)"
+    pattern = f"(?<![{of.inside}]){string}(?![{of.inside}])"
 
     def candidate(match, _):
         good = F.lit(True)
         for need in of.needs:
             good = good & match.rlike(need)
-        for known in allowed:
+        for known in ALLOWED_WHOLE:
             good = good & ~match.rlike(known)
         return good
 
@@ -145,8 +156,16 @@ def _entropy(text: Column, of: CharClass, kind_no: int, allowed: tuple[str, ...]
 
     def inner(span):
         string = F.substring(text, span["start"].cast("int") + 1, (span["stop"] - span["start"]).cast("int"))
+
+        def no_placeholder(part):
+            own = F.substring(string, part["start"] + 1, part["stop"] - part["start"])
+            good = F.lit(True)
+            for known in allowed:
+                good = good & ~own.rlike(known)
+            return good
+
         return F.transform(
-            entropy_spans(string, of),
+            F.filter(entropy_spans(string, of), no_placeholder),
             lambda part: F.struct(
                 (span["start"] + part["start"]).alias("start"), span["kind_no"].alias("kind_no"),
                 span["kind"].alias("kind"), (span["start"] + part["stop"]).alias("stop"),
@@ -172,7 +191,7 @@ def find_secrets(
     The three counted kinds are matches of fixed patterns, leftmost and without overlap within a
     kind.  ``spans`` holds these and the parts found by entropy, as ``kind:start:stop`` in code
     points with an exclusive end, by start, then kind; parts found by entropy may overlap the
-    others.  Strings on the ``allowed`` list give no span by entropy; base matches stay.  Null
+    others.  Parts that hold a match of ``allowed`` give no span by entropy; base matches stay.  Null
     texts count as empty and give no span.  Repeated rows are scanned as often as they occur; an
     empty table gives no rows; other columns are not read.
     """
