@@ -312,6 +312,31 @@ def test_token_counts(spark):
     assert token_counts.count_tokens(frame.where("false"), separator=9).count() == 0
 
 
+def test_flat_files_are_read_by_ranges(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    ids = rng.integers(0, 300, 500_000).astype("<u2")
+    ids[:120_000] = 5  # a document over many blocks and ranges
+    ids[-1] = 5
+    path = f"file://{tmp_path}/one.ids"
+    ids.tofile(tmp_path / "one.ids")
+    (tmp_path / "empty.ids").touch()
+    blocks = token_counts.read_files(spark, [path, f"file://{tmp_path}/empty.ids"], 2, block=1000, range_bytes=20_000)
+    assert blocks.rdd.getNumPartitions() == 50 and blocks.count() == 500
+    got = sorted((r.doc_no, r.start, r.n_tokens) for r in token_counts.count_tokens(blocks, separator=9).collect())
+    ends = np.append(np.flatnonzero(ids == 9), len(ids))
+    starts = np.append(0, ends[:-1] + 1)
+    assert got == list(zip(range(len(ends)), starts.tolist(), (ends - starts).tolist()))
+
+
+def test_token_counts_of_written_files(spark):
+    got = QUERIES["op10_token_counts"](spark, SMALL).collect()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    codec = chat.Codec(*RANKS)
+    want = Counter((r.doc_id, len(codec.bpe.encode_ordinary(r.text or ""))) for r in docs)
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == want
+    assert len({(r.file, r.doc_no) for r in got}) == len(got)
+
+
 def test_toxicity(spark):
     bad, good = ["vile", "nasty"], [f"g{i}" for i in range(60)]
     texts = [" ".join(RNG.choices(good, k=30) + ([RNG.choice(bad)] if i % 3 == 0 else [])) for i in range(600)]

@@ -18,6 +18,7 @@ from tidemark.llm import (
     toxicity,
 )
 from tidemark.llm.common import Scratch, read_table
+from tidemark.session import scratch_path
 
 # Fixed value: the conversation that is formatted besides those of the table.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -72,9 +73,13 @@ def op9_toxicity(spark, sf_dir):
 
 def op10_token_counts(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    files = token_counts.write_blocks(read_table(spark, sf_dir, "documents"), *ranks)
-    files = Scratch(spark, "token-files").stage(files, "blocks")
-    return token_counts.count_tokens(files, separator=50_256)
+    folder = scratch_path(spark, "token-files")
+    written = token_counts.write_files(read_table(spark, sf_dir, "documents"), folder, *ranks)
+    written = Scratch(spark, "token-files").stage(written, "documents")
+    paths = [r.path for r in written.select("path").distinct().collect()]  # one row per file
+    counts = token_counts.count_tokens(token_counts.read_files(spark, paths, width=2), separator=50_256)
+    ids = written.select(token_counts.file_name().alias("file"), "doc_no", "doc_id")
+    return counts.join(ids, ["file", "doc_no"], "left")
 
 
 QUERIES = {

@@ -6,8 +6,9 @@ separators; documents that begin and end there are known at once.  What is open
 is stitched by a prefix scan over one summary row per block: sums of separators give a document's
 number, and the tokens after the last separator are carried to the next block that has one.
 
-The scan over blocks runs in two levels, within groups of ``GROUP`` blocks and over the groups, so
-that a single file may hold most of the corpus.
+The scan over blocks runs in two levels, within groups of ``GROUP`` blocks and over the groups, and
+files are read by byte ranges that are dealt over tasks, so that a single file may hold most of the
+corpus.  Files are opened by ``pyarrow.fs``, in a folder that driver and executors share.
 """
 
 from __future__ import annotations
@@ -16,14 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import _codec
-from tidemark.llm.common import Scratch, plain_text, ship
+from tidemark.llm.common import Scratch, plain_text, ship, slices
 
 BLOCK_TOKENS = 1 << 16
+RANGE_BYTES = 16 << 20  # that a row of read_files stands for
 GROUP = 4096
 
 
@@ -61,18 +64,90 @@ def write_blocks(docs: DataFrame, path: str, pattern: str, block: int = BLOCK_TO
     return texts.mapInArrow(run, "file long, block_no long, payload binary")
 
 
-def read_files(spark: SparkSession, paths: list[str], width: int, block: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of flat files, named by a hash of their path; a file must fit into one row."""
+def write_files(docs: DataFrame, folder: str, path: str, pattern: str) -> DataFrame:
+    """Writes flat token files, one per task, and gives ``path, doc_no, doc_id`` of their documents.
+
+    Ids are as in :func:`write_blocks`.  A file has the name of its task's attempt, so what a
+    failed or repeated attempt leaves is in no row: stage the rows once, and read their files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(path, pattern)
+        end = np.array([codec.turn], "<u2").tobytes()
+        task, number, out, name = TaskContext.get(), 0, None, ""
+        for batch in slices(batches):
+            if out is None and batch.num_rows:
+                store, top = fs.FileSystem.from_uri(folder)
+                store.create_dir(top, recursive=True)
+                file = f"/{task.partitionId()}-{task.taskAttemptId()}.ids"
+                out, name = store.open_output_stream(top + file), folder + file
+            for text in batch.column("text"):
+                out.write(np.array(codec.bpe.encode_ordinary(text.as_py()), "<u2").tobytes() + end)
+            n = batch.num_rows
+            yield pa.RecordBatch.from_pydict(
+                {"path": pa.array([name] * n, pa.string()),
+                 "doc_no": pa.array(range(number, number + n), pa.int64()),
+                 "doc_id": batch.column("doc_id")}
+            )
+            number += n
+        if out is not None:
+            out.close()
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))
+    return texts.mapInArrow(run, "path string, doc_no long, doc_id long")
+
+
+def file_name(path: str = "path"):
+    """The number that stands for a file."""
+    return F.xxhash64(path)
+
+
+def read_files(
+    spark: SparkSession, paths: list[str], width: int, block: int = BLOCK_TOKENS,
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
+    """Blocks of flat files, named by a hash of their path.
+
+    The driver holds a row per file.  A task gets ranges of about ``range_bytes``, seeks to each
+    and reads it block by block.  Bytes after the last whole id of a file are an error.
+    """
     step = block * width
-    content = spark.read.format("binaryFile").load(paths)
-    starts = F.sequence(F.lit(0), F.greatest(F.length("content") - 1, F.lit(0)), F.lit(step))
-    cut = content.where(F.length("content") > 0).select(
-        F.xxhash64("path").alias("file"), "content", F.posexplode(starts).alias("block_no", "at")
-    )
-    return cut.select(
-        "file", F.col("block_no").cast("long").alias("block_no"),
-        F.substring("content", F.col("at") + 1, F.lit(step)).alias("payload"),
+    sizes = []
+    for path in sorted(set(paths)):
+        store, name = fs.FileSystem.from_uri(path)
+        info = store.get_file_info(name)
+        if info.type != fs.FileType.File:
+            raise FileNotFoundError(path)
+        if info.size % width:
+            raise ValueError(f"{path}: {info.size} bytes are no whole ids of {width}")
+        sizes.append((path, info.size))
+    span = max(1, range_bytes // step) * step
+    n = sum(-(-size // span) for _, size in sizes)
+    ranges = spark.createDataFrame(sizes, "path string, size long").where("size > 0").select(
+        "path", file_name().alias("file"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(span).cast("long"))).alias("offset"),
+        "size",
     )
+    ranges = ranges.select("path", "file", "offset", F.least(F.lit(span), F.col("size") - F.col("offset")).alias("length"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                store, name = fs.FileSystem.from_uri(row["path"])
+                with store.open_input_file(name) as file:
+                    file.seek(row["offset"])
+                    for at in range(row["offset"], row["offset"] + row["length"], step):
+                        size = min(step, row["offset"] + row["length"] - at)
+                        payload = file.read(size)
+                        if len(payload) != size:
+                            raise OSError(f"{row['path']} ends within {at}:{at + size}")
+                        yield pa.RecordBatch.from_pydict(
+                            {"file": pa.array([row["file"]], pa.int64()),
+                             "block_no": pa.array([at // step], pa.int64()),
+                             "payload": pa.array([payload], pa.binary())}
+                        )
+
+    return ranges.repartition(max(1, n)).mapInArrow(run, "file long, block_no long, payload binary")
 
 
 def _scan(separator: int, dtype: str):
