@@ -32,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(docs, vocabulary, with_ids=False)
+    return packing.pack(docs, vocabulary)
 
 
 STAGES = [

@@ -285,6 +285,25 @@ def test_packing(spark):
     assert packing.pack(docs.where("false"), path).count() == 0
 
 
+def test_packed_rows_hold_ids(spark):
+    from corpus_pipeline import pack_sequences
+
+    texts = ["some words " * n for n in (1, 3000, 20, 5)] + [None]
+    docs = docs_of(spark, texts)
+    packed = pack_sequences(spark, docs, SMALL)
+    rows = {(r.doc_id, r.piece): r for r in packed.collect()}
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for i, text in enumerate(texts):
+        parts = [rows[k] for k in sorted(rows) if k[0] == i]
+        assert [x for r in parts for x in r.ids] == [*plain.encode(text or "", add_special_tokens=False).ids, 0]
+    again = packing.digests(packed.withColumn("ids_crc32", F.lit(0).cast("long")))
+    assert again.columns == [c for c in packed.columns if c != "ids"]
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in again.collect()} == {k: r.ids_crc32 for k, r in rows.items()}
+    small = QUERIES["op8_packing"](spark, SMALL)
+    assert "Join" in small._jdf.queryExecution().optimizedPlan().toString()
+    assert small.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_best_two_fit_places_every_piece_once(lengths):

@@ -1,8 +1,9 @@
 """Best-fit packing of tokenised documents into sequences, by best-two-fit.
 
-Texts are tokenised where they are read; only lengths and checksums go on.  Pieces are dealt over
-shards of about ``SHARD_PIECES`` pieces by a hash of a staged row number, and every shard packs on
-its own, so no task sees more however large the corpus or a source is.  A shard holds thousands of
+Texts are tokenised where they are read, and the pieces are staged with their ids.  Row numbers and
+lengths alone are dealt over shards of about ``SHARD_PIECES`` pieces by a hash of the staged row
+number, and every shard packs on its own, so no task sees more however large the corpus or a source
+is.  The places found are joined to the pieces by row number; no task holds the ids of a shard.  A shard holds thousands of
 sequences, of which at most the last few stay unfilled, so dealing costs next to no space.
 """
 
@@ -228,9 +229,33 @@ def pack(
     pieces = texts.mapInArrow(_pieces(tokenizer, size, with_ids), schema)
     pieces = scratch.stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-pieces.count() // SHARD_PIECES))
-    dealt = pieces.repartition(shards, "_row").drop("_row")
+    dealt = pieces.select("_row", "length").repartition(shards, "_row")
     dealt = dealt.withColumn("_shard", F.spark_partition_id().cast("long"))
-    return dealt.mapInArrow(_pack(size), f"{schema}, sequence_id long, offset long")
+    places = dealt.mapInArrow(_pack(size), "_row long, length long, sequence_id long, offset long")
+    # Places are the small side: pieces are shuffled, not sorted.
+    places = places.drop("length").hint("shuffle_hash")
+    return pieces.join(places, "_row").drop("_row")
+
+
+def digests(packed: DataFrame) -> DataFrame:
+    """Packed rows with ``ids_crc32`` computed from the ids that they hold, and without these."""
+    columns = [c for c in packed.columns if c not in ("ids", "ids_crc32")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            values, at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+            data = memoryview(np.ascontiguousarray(values, "<i4")).cast("B")
+            crcs = [zlib.crc32(data[a * 4 : b * 4]) for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in columns), pa.array(crcs, pa.int64())],
+                [*columns, "ids_crc32"],
+            )
+
+    kinds = ", ".join(f"{c} {kind}" for c, kind in packed.dtypes if c in columns)
+    return packed.select(*columns, "ids").mapInArrow(run, f"{kinds}, ids_crc32 bigint").select(
+        *[c for c in packed.columns if c != "ids"]
+    )
 
 
 ship(__name__)

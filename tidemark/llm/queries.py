@@ -63,7 +63,7 @@ def op7_jaccard_join(spark, sf_dir):
 
 def op8_packing(spark, sf_dir):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
+    return packing.digests(packing.pack(read_table(spark, sf_dir, "documents"), vocabulary))
 
 
 def op9_toxicity(spark, sf_dir):
