@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     chat,
+    decontamination,
     embeddings,
     exact_dedup,
     html,
@@ -16,6 +18,7 @@ from tidemark.llm import (
     secrets,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from tidemark.llm.common import Scratch, read_table
 from tidemark.session import scratch_path
@@ -82,6 +85,28 @@ def op10_token_counts(spark, sf_dir):
     return counts.join(ids, ["file", "doc_no"], "left")
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.alignment(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op12_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.encode(read_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_decontamination(spark, sf_dir):
+    documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.contamination(documents, benchmark)
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,9 +118,14 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
+    "op13_decontamination": decontamination.ORACLE,
 }
