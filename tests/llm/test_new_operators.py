@@ -323,11 +323,12 @@ def contaminated_case():
 
 @pytest.mark.parametrize("limit", [decontamination.BROADCAST_BYTES, 0])
 def test_contamination_equals_plain(spark, monkeypatch, limit):
-    monkeypatch.setattr(decontamination, "PIECE_WORDS", 37)
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 63)
+    monkeypatch.setattr(decontamination, "PIECE_CHARS", 500)
     docs, items = contaminated_case()
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns(clash())
     tests = spark.createDataFrame(items, "item_id long, text string").withColumns(clash())
-    for n in (1, 5, 37):
+    for n in (1, 5, 64):
         got = decontamination.contamination(frame, tests, n, broadcast_bytes=limit).collect()
         assert Counter(map(tuple, got)) == Counter(plain_hits(docs, items, n))
 

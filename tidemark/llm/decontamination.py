@@ -2,10 +2,11 @@
 
 Each benchmark item gives its windows of ``n`` consecutive words (an item of fewer words is one
 window).  The distinct windows form a dictionary with a 64-bit hash; it is broadcast if its counted size is
-within ``BROADCAST_BYTES``, else it is joined by a shuffle of hashes.  Texts are cut into pieces of
-``PIECE_WORDS`` words, each with the first words of the next one, so neither a long text nor its
-windows are held at once.  The windows of a piece are probed by hash, and a hit counts only if the
-words themselves agree.
+within ``BROADCAST_BYTES``, else it is joined by a shuffle of hashes.  Texts beyond ``PIECE_CHARS``
+are cut into pieces of ``PIECE_WORDS`` words, each with the first words of the next one, so neither a
+long text nor its windows are held at once.  Words are hashed once, and every place of a piece becomes a
+row that hashes its window from these in generated code; a hit counts only if the words themselves
+agree.
 
 Hit words are bits: a window sets at most a few 64-bit masks, which are joined by OR before and
 after the shuffle, so a text or passage with very many hits stays small.  Everything is DataFrame
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, plain_text, ship
 
 WINDOW = 10
+MOST_WORDS = 64  # of a window
+PIECE_CHARS = 1 << 16
 PIECE_WORDS = 4096
 BROADCAST_BYTES = 32 << 20
 ROW_BYTES = 120  # of a window in a hash table, beside its words
@@ -40,7 +43,8 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"{LETTER}++"), F.lit(0))
+    """Splitting is several times faster than extracting; only the ends can be empty."""
+    return F.array_remove(F.split(text, f"{GAP}+"), "")
 
 
 def bound(value: Column, use) -> Column:
@@ -48,14 +52,13 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _hashes(words: Column) -> Column:
+def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _windows(hashes: Column, size: Column | int, starts: Column) -> Column:
-    """Hashes of ``size`` consecutive word hashes at the first ``starts`` places."""
-    places = F.when(starts > 0, F.sequence(F.lit(1), starts)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda at: F.xxhash64(F.slice(hashes, at, size)))
+def window_hash(hashes: Column, at: Column, size: Column, n: int) -> Column:
+    """Hash of the ``size`` words from ``at`` on; the nulls of places beyond it are passed over."""
+    return F.xxhash64(*[F.when(size > k, F.get(hashes, at + k)) for k in range(n)])
 
 
 def dictionary(scratch: Scratch, benchmark: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
@@ -80,11 +83,12 @@ def dictionary(scratch: Scratch, benchmark: DataFrame, n: int) -> tuple[DataFram
     grams = scratch.stage(grams, "grams")
     windows = grams.select("gram").distinct().select(
         F.monotonically_increasing_id().alias("window"),
-        F.xxhash64(_hashes(F.col("gram"))).alias("hash"),
+        word_hashes(F.col("gram")).alias("hashes"),
         F.size("gram").alias("size"),
         "gram",
     )
-    windows = scratch.stage(windows, "windows")
+    hashed = window_hash(F.col("hashes"), F.lit(0), F.col("size"), n).alias("hash")
+    windows = scratch.stage(windows.select("window", hashed, "size", "gram"), "windows")
     places = grams.distinct().join(windows.select("window", "gram"), "gram").select("window", "item")
     return windows, scratch.stage(places, "places")
 
@@ -103,8 +107,8 @@ def _scan(
     keep_row: bool,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged documents, their hits ``row, start, size, window``, and the windows' items."""
-    if n < 1 or n > PIECE_WORDS:
-        raise ValueError(f"a window has 1 to {PIECE_WORDS} words")
+    if not 1 <= n <= MOST_WORDS:
+        raise ValueError(f"a window has 1 to {MOST_WORDS} words")
     windows, places = dictionary(scratch, benchmark, n)
     run = F.lit(f"(?:{LETTER}++{GAP}*+){{1,{PIECE_WORDS}}}+")
     text = lower_ascii(plain_text())
@@ -112,8 +116,9 @@ def _scan(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             F.col("doc_id").cast("long").alias("doc_id"),
-            F.regexp_count(text, F.lit(f"{LETTER}++")).cast("long").alias("n_words"),
-            F.regexp_extract_all(text, run, F.lit(0)).alias("pieces"),
+            F.size(words_of(text)).cast("long").alias("n_words"),
+            F.when(F.length(text) <= PIECE_CHARS, F.array(text))
+            .otherwise(F.regexp_extract_all(text, run, F.lit(0))).alias("pieces"),
             *([F.struct("*").alias("own")] if keep_row else []),
         ),
         "rows",
@@ -137,27 +142,16 @@ def _scan(
         F.size(own).alias("own"),
         F.concat(own, words_of(F.col("piece.next"))).alias("words"),
     )
-    # One row per piece and window size in use, of which there are at most n.
+    # A row for every place of a piece and every window size in use, of which there are at most n.
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())
-    probes = bound(
-        F.struct(_hashes(F.col("words")).alias("h"), F.col("own").alias("own")),
-        lambda s: F.array(
-            *[
-                F.struct(
-                    F.lit(size).alias("size"),
-                    _windows(s["h"], size, F.least(s["own"], F.size(s["h"]) - size + 1)).alias("hashes"),
-                )
-                for size in sizes
-            ]
-        ),
-    )
-    if not sizes:
-        none = "row long, start long, size int, window long"
-        return rows, scratch.spark.createDataFrame([], none), places
-    probes = pieces.select("row", "first", "words", F.explode(probes).alias("probe"))
-    probes = probes.select(
-        "row", "first", "words", "probe.size", F.posexplode("probe.hashes").alias("at", "hash")
+    hashed = pieces.select("row", "first", "own", "words", word_hashes(F.col("words")).alias("hashes"))
+    probes = (
+        hashed.select("*", F.explode(F.array(*map(F.lit, sizes or [n]))).alias("size"))
+        .select("*", F.posexplode("hashes").alias("at", "_"))
+        .where((F.col("at") < F.col("own")) & (F.col("at") + F.col("size") <= F.size("hashes")))
     )
+    hashed_place = window_hash(F.col("hashes"), F.col("at"), F.col("size"), max(sizes or [n]))
+    probes = probes.select("row", "first", "words", "size", "at", hashed_place.alias("hash"))
     gram = F.slice("words", F.col("at") + 1, F.col("size"))
     start = (F.col("first") + F.col("at")).alias("start")
     known = windows.select("window", "hash", F.col("gram").alias("item_gram"))
