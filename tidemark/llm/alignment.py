@@ -20,8 +20,10 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import tiktoken
@@ -116,9 +118,14 @@ def merge_piece(a, b, i0: int, i1: int, j0: int, j1: int) -> tuple:
     seen[seen] = a[next_a[seen] - 1] == own_b[seen]
     closed = np.concatenate([[0], np.cumsum(common)])
     group_a, group_b = closed[:-1], closed[next_a - i0] - seen
-    new = ~seen
-    links_a = np.concatenate([np.arange(i0, i1), next_a[new]])
-    links_b = np.concatenate([next_b, np.arange(j0, j1)[new]])
+    # An end of both is one overlap, that of ``a``; overlaps come out in the order of their ends.
+    new = np.flatnonzero(~seen)
+    before = np.concatenate([[0], np.cumsum(~seen)])
+    place_a = np.arange(i1 - i0) + before[next_b - j0]
+    place_b = np.arange(len(new)) + next_a[new] - i0
+    links_a, links_b = np.empty((2, i1 - i0 + len(new)), "i8")
+    links_a[place_a], links_b[place_a] = np.arange(i0, i1), next_b
+    links_a[place_b], links_b[place_b] = next_a[new], j0 + new
     return links_a, links_b, group_a, group_b, common
 
 
@@ -149,12 +156,14 @@ def align_ends(a: np.ndarray, b: np.ndarray, steps: int = PIECE_STEPS) -> Aligne
     return Aligned(*map(np.concatenate, zip(*stitched)))
 
 
-def _digits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of each id, right-aligned in rows of bytes, and how many there are."""
-    width = len(str(int(ids.max(initial=0))))
+@cache
+def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of 0 to ``most``, right-aligned in rows of bytes, and how many there are."""
+    ids = np.arange(most + 1)
+    width = len(str(most))
     powers = 10 ** np.arange(width - 1, -1, -1)
     digits = (ids[:, None] // powers % 10 + 48).astype("u1")
-    return digits, 1 + (ids[:, None] >= powers[:-1]).sum(1) if width > 1 else np.ones(len(ids), "i8")
+    return digits, 1 + (ids[:, None] >= powers[:-1]).sum(1)
 
 
 def group_texts(a_ids, b_ids, of_a, of_b, found: Aligned, n: int) -> list[bytes]:
@@ -171,7 +180,7 @@ def group_texts(a_ids, b_ids, of_a, of_b, found: Aligned, n: int) -> list[bytes]
     ids[place_a], ids[place_b] = a_ids, b_ids
     after[before_a[1:] + before_b[:-1] - 1] = ord("|")
     after[before_a[1:] + before_b[1:] - 1] = ord(";")
-    digits, sizes = _digits(ids)
+    digits, sizes = (table[ids] for table in _digits(max(1 << 16, int(ids.max(initial=0)))))
     cells = np.concatenate([digits, after[:, None]], 1)
     data = cells[np.arange(cells.shape[1]) >= (digits.shape[1] - sizes)[:, None]].tobytes()
     tokens = np.bincount(of_a, minlength=n) + np.bincount(of_b, minlength=n)
@@ -242,10 +251,8 @@ class _Writer:
         found = align_ends(
             np.cumsum(self.pair.a_sizes[a_ids]), np.cumsum(self.pair.b_sizes[b_ids]), self.steps
         )
-        links_of = of_a[found.links_a]
-        order = np.argsort(links_of, kind="stable")
-        keys = (a_ids[found.links_a] << 32 | b_ids[found.links_b])[order]
-        n_links = np.bincount(links_of, minlength=n)
+        keys = a_ids[found.links_a] << 32 | b_ids[found.links_b]
+        n_links = np.bincount(of_a[found.links_a], minlength=n)
         n_groups = np.bincount(of_a[found.common], minlength=n)
         texts = group_texts(a_ids, b_ids, of_a, of_b, found, n)
         self.keys.append(keys)
@@ -268,7 +275,8 @@ class _Writer:
 
     def _block(self) -> pa.RecordBatch:
         keys = np.concatenate(self.keys)
-        pairs, places, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        places, pairs = pd.factorize(keys)
+        counts = np.bincount(places, minlength=len(pairs))
         offsets = np.concatenate([[0], np.cumsum([p[-1] for p in self.parts])]).astype("i4")
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(places.astype("i4")))
         rows = list(zip(*(p[:-1] for p in self.parts)))
