@@ -91,3 +91,41 @@ def test_batch_and_stream_agree(clinic, spark, tmp_path):
     job_id = clinic.create()
     finish_stream(clinic.migration, job_id, stream(clinic, job_id))
     assert clinic.keys() == other.keys() == keys_of(1, 50)
+
+
+def test_a_stopped_stream_ends_paused_and_goes_on(clinic, spark):
+    for first in (1, 51, 101):
+        add_file(clinic, first, first + 49)
+    job_id = clinic.create()
+    asked = []
+
+    def stop_before_the_second():
+        asked.append(1)
+        if len(asked) == 2:
+            clinic.migration.stop_job(job_id)
+        return False
+
+    finish_stream(clinic.migration, job_id, stream(clinic, job_id, should_stop=stop_before_the_second))
+    job = clinic.migration.get_job(job_id)
+    assert (job.status, job.processed) == ("paused", 50)
+    finish_stream(clinic.migration, job_id, stream(clinic, job_id))
+    job = clinic.migration.get_job(job_id)
+    assert (job.status, job.processed, job.success, job.total_records) == ("completed", 150, 150, 150)
+    from tidemark.operators import ledger
+
+    assert ledger.bad_transitions(spark, clinic.migration.events()).isEmpty()
+    assert clinic.keys() == all_keys(1, 150)
+
+
+def test_a_stream_that_fails_is_recorded_as_failed(clinic, monkeypatch):
+    add_file(clinic, 1, 10)
+    job_id = clinic.create()
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    monkeypatch.setattr(clinic.migration, "load", broken)
+    query = stream(clinic, job_id)
+    with pytest.raises(Exception, match="lost"):
+        finish_stream(clinic.migration, job_id, query)
+    assert clinic.migration.get_job(job_id).status == "failed"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import uuid5
 from tidemark.plans.spec import TransformSpec
 from tidemark.sources.series import integer_series
+from tidemark.sources.target import Folder
 
 
 def doomed_keys(
@@ -35,3 +36,21 @@ def rows_to_keep(target: DataFrame, doomed: DataFrame, key: str) -> DataFrame:
 
 def rows_to_delete(target: DataFrame, doomed: DataFrame, key: str) -> DataFrame:
     return target.join(doomed, key, "left_semi")
+
+
+def split_folders(
+    folders: list[Folder], first: int, last: int, drop_whole: bool = True
+) -> tuple[list[Folder], list[Folder]]:
+    """Folders whose rows all go, and folders that must be read; the rest is left alone."""
+    met = [f for f in folders if f.meets(first, last)]
+    whole = [f for f in met if drop_whole and f.within(first, last)]
+    return whole, [f for f in met if f not in whole]
+
+
+def bounds_left(folder: Folder, first: int, last: int) -> tuple[int | None, int | None]:
+    """Bounds of the ids a folder may still hold without those from ``first`` to ``last``."""
+    if folder.first is None or folder.last is None:
+        return None, None
+    low = last + 1 if first <= folder.first <= last < folder.last else folder.first
+    high = first - 1 if folder.first < first <= folder.last <= last else folder.last
+    return low, high

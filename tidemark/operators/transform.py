@@ -71,8 +71,11 @@ def error_column(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = Fals
     return F.coalesce(*checks)
 
 
-def map_rows(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False) -> DataFrame:
-    """Target columns of every row, with its source key and its reject message beside them.
+def map_rows(
+    rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Target columns of every row, with its source key and its reject message beside them, and
+    the columns to ``keep`` of the row.
 
     Everything is a native column, so the whole step is one projection in generated code.
     """
@@ -84,6 +87,7 @@ def map_rows(rows: DataFrame, spec: TransformSpec, strict_nulls: bool = False) -
         error_column(rows, spec, strict_nulls).alias(ERROR),
         uuid5(F.col(spec.key).cast("string"), spec.namespace).alias(spec.key_output),
         *outputs,
+        *keep,
     )
 
 

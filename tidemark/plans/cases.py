@@ -584,6 +584,46 @@ def migrate_sliced(spark, sf_dir):
     return spark.createDataFrame(states, f"status string, {longs}")
 
 
+def _in_thirds(spark, sf_dir):
+    """Three incremental runs, each over the next third of the ids; the migration and its jobs."""
+    rows = person(spark, sf_dir)
+    low, high = extract.key_bounds(rows, "id")
+    reached = [low]
+    source = Source(lambda session: person(session, sf_dir).where(F.col("id") <= reached[-1]))
+    migration = Migration(spark, scratch_path(spark, "migration"), {"customer": source})
+    jobs = []
+    for third in (1, 2, 3):
+        reached.append(low + (high - low) * third // 3)
+        jobs.append(migration.start_job(migration.create_job("customer", "person")).job_id)
+    return migration, jobs
+
+
+def target_ranges(spark, sf_dir):
+    """What the target's list says of three loads: their id ranges and numbers of rows."""
+    migration, _ = _in_thirds(spark, sf_dir)
+    folders = migration.target(PERSON).folders()
+    listed = [(f.first, f.last, f.rows) for f in folders]
+    return spark.createDataFrame(listed, "first_id long, last_id long, n_rows long")
+
+
+def rollback_middle(spark, sf_dir):
+    """The target after the second of three runs was rolled back: no other folder is touched."""
+    migration, jobs = _in_thirds(spark, sf_dir)
+    migration.rollback_job(jobs[1])
+    return migration.target_rows("customer")
+
+
+def slice_assign(spark, sf_dir):
+    """Orders in slices by customer, whose rows no slice shares with another."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    sliced = batches.slice_rows(orders, "o_custkey", BATCH)
+    return sliced.groupBy(F.col(batches.SLICE).cast("long").alias("slice_no")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("o_custkey").alias("first_id"),
+        F.max("o_custkey").alias("last_id"),
+    )
+
+
 def ensure_orders(spark, sf_dir):
     """Patients seeded for the orders where the table is missing; a second call leaves them."""
     location = scratch_path(spark, "ensured")
@@ -609,6 +649,37 @@ def stream_by_file(spark, sf_dir):
     return job.withColumn("loads", F.lit(loads).cast("long"))
 
 
+def stream_stopped(spark, sf_dir):
+    """A stream of four files that is asked to stop after the first and then goes on: the job when
+    it stopped, and at the end, and how many forbidden changes of state the ledger holds."""
+    location = scratch_path(spark, "files")
+    customers = table(spark, sf_dir, "customer")
+    for part in range(4):
+        rows = customers.where(F.col("c_custkey") % 4 == part)
+        rows.coalesce(1).write.mode("append").parquet(location)
+    migration = _migration(spark, sf_dir)
+    job_id = migration.create_job("customer", "person")
+    checkpoint = scratch_path(spark, "stream")
+    asked = []
+
+    def stop_before_the_second():
+        asked.append(1)
+        if len(asked) == 2:
+            migration.stop_job(job_id)
+        return False
+
+    states = []
+    for should_stop in (stop_before_the_second, None):
+        files = as_person(file_stream(spark, location, customers.schema, max_files=1))
+        query = stream_job(migration, job_id, files, checkpoint, should_stop=should_stop)
+        finish_stream(migration, job_id, query)
+        job = migration.get_job(job_id)
+        states.append((job.status, job.processed, job.success, job.failed))
+    bad = ledger.bad_transitions(spark, migration.events()).count()
+    rows = spark.createDataFrame(states, "status string, processed long, success long, failed long")
+    return rows.withColumn("bad_changes", F.lit(bad).cast("long"))
+
+
 def stream_migrate(spark, sf_dir):
     """The customer files as a stream that is drained into the target."""
     migration = _migration(spark, sf_dir)
@@ -671,8 +742,12 @@ CASES = {
         migrate_job,
         migrate_target,
         migrate_sliced,
+        target_ranges,
+        rollback_middle,
+        slice_assign,
         ensure_orders,
         stream_migrate,
         stream_by_file,
+        stream_stopped,
     )
 } | {"trim_unicode": trim_text}

@@ -1,25 +1,29 @@
 """Migration jobs: create, start or resume, stop, roll back, validate, and their ledger.
 
-The ledger is an append-only table.  Data is always written before the event that reports it, and
-every load overwrites its own folder, so a crash between the two is repaired by running again.
+The ledger is a log of numbered commits.  A change of a job's state is decided from the commits so far
+and put as the next one, so of several drivers that decide at the same time one wins and the others decide
+again.  Data is always written and listed before the event that reports it, and a load that runs
+again replaces what it had listed, so a crash between the two is repaired by running again.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import batches, extract, ledger, load, quality, rollback, transform
 from tidemark.plans.spec import TransformSpec, lookup
-from tidemark.session import path_exists, run_folder, stage
-from tidemark.sources.target import TargetTable
+from tidemark.session import list_names, path_exists, remove_path, run_folder, scratch_path, stage
+from tidemark.sources.commits import CHECKPOINT, CommitLog
+from tidemark.sources.target import Folder, TargetTable
 
 def _struct(**types: str) -> T.StructType:
     schema = T.StructType()
@@ -48,6 +52,8 @@ EVENTS = _struct(
     first_id="long",
     last_id="long",
     target_version="integer",
+    run_id="string",
+    stop_run="string",
 )
 ERROR_FILE = _struct(id="long", error="string")
 ERRORS = _struct(id="long", error="string", job_id="string", load_id="string")
@@ -55,11 +61,8 @@ ERRORS = _struct(id="long", error="string", job_id="string", load_id="string")
 
 COUNTERS = ("processed", "success", "failed", "skipped")
 
-NEW_EVENT = ", ".join(
-    f"CAST({'current_timestamp()' if f.name == 'at' else ':' + f.name} AS {f.dataType.simpleString()})"
-    f" AS {f.name}"
-    for f in EVENTS
-)
+# Events of a commit are in order of their place; the number of the commit comes before it.
+PLACE_BITS = 32
 
 # Folded per load first, then per job; the last status is kept as its number in the list.
 STATUS_NAMES = f"array({', '.join(repr(s) for s in ledger.STATUSES)})"
@@ -73,6 +76,8 @@ WITH loads AS (
          max(seq) FILTER (WHERE total_records IS NOT NULL) AS total_seq,
          max_by(array_position({STATUS_NAMES}, status), seq) FILTER (WHERE status IS NOT NULL)
            AS status_no,
+         max_by(run_id, seq) FILTER (WHERE status = 'running') AS run_id,
+         max_by(stop_run, seq) FILTER (WHERE stop_run IS NOT NULL) AS stop_run,
          max_by(processed, seq) AS processed, max_by(success, seq) AS success,
          max_by(failed, seq) AS failed, max_by(skipped, seq) AS skipped,
          max_by(first_id, seq) AS first_id, max_by(last_id, seq) AS last_id,
@@ -89,6 +94,7 @@ SELECT job_id, max(source_table) AS source_table, max(target_table) AS target_ta
        min(first_id) AS first_processed_id, max(last_id) AS last_processed_id,
        max(batch_size) AS batch_size, max(batch_delay_ms) AS batch_delay_ms,
        max(dry_run) AS dry_run, max(start_after) AS start_after,
+       max(run_id) AS run_id, max(stop_run) AS stop_run,
        min(created_seq) AS created_seq, min(created_at) AS created_at,
        max(updated_at) AS updated_at, max(started_at) AS started_at,
        max(completed_at) AS completed_at, max(rolled_back_at) AS rolled_back_at
@@ -119,10 +125,7 @@ class Migration:
         self.spark = spark
         self.root = root.rstrip("/")
         self.sources = sources
-        self._last_seq = 0
-        for folder, schema in (("ledger/none", EVENTS), (f"errors/{self._error_folder()}", ERROR_FILE)):
-            if not path_exists(spark, f"{self.root}/{folder}"):
-                spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{folder}")
+        self.ledger = CommitLog(spark, f"{self.root}/ledger")
 
     # -- jobs ---------------------------------------------------------------------------------
 
@@ -143,75 +146,139 @@ class Migration:
         if batch_size is not None and batch_size <= 0:
             raise ValueError("batch_size must be positive")
         pair = (F.col("source_table") == source_table) & (F.col("target_table") == target_table)
-        runs = self.jobs_table().where(pair)
         done = (F.col("status") == "completed") & ~F.col("dry_run")
         reached = F.coalesce("last_processed_id", "start_after")
-        known = runs.agg(
-            F.count_if(F.col("status").isin(ledger.ACTIVE)).alias("active"),
-            F.max_by(reached, F.when(done, F.col("created_seq"))).alias("resume_after"),
-        ).first()
-        if known.active:
-            raise JobStateError("this pair has a job that is pending or running: wait for it or stop it")
         job_id = str(uuid.uuid4())
-        self._append(
-            job_id,
-            status="pending",
-            source_table=source_table,
-            target_table=target_table,
-            batch_size=batch_size,
-            batch_delay_ms=batch_delay_ms,
-            dry_run=dry_run,
-            start_after=known.resume_after,
-        )
+
+        def decide(jobs: DataFrame) -> dict:
+            known = jobs.where(pair).agg(
+                F.count_if(F.col("status").isin(ledger.ACTIVE)).alias("active"),
+                F.max_by(reached, F.when(done, F.col("created_seq"))).alias("resume_after"),
+            ).first()
+            if known.active:
+                raise JobStateError(
+                    "this pair has a job that is pending or running: wait for it or stop it"
+                )
+            return {
+                "status": "pending",
+                "source_table": source_table,
+                "target_table": target_table,
+                "batch_size": batch_size,
+                "batch_delay_ms": batch_delay_ms,
+                "dry_run": dry_run,
+                "start_after": known.resume_after,
+            }
+
+        self._decide(job_id, decide)
         return job_id
 
-    def start_job(self, job_id: str, should_stop: Callable[[], bool] = lambda: False) -> Row:
-        """Run a pending, paused or failed job; ``should_stop`` is asked before every commit."""
-        job = self.mark_running(job_id)
+    def start_job(
+        self,
+        job_id: str,
+        should_stop: Callable[[], bool] | None = None,
+        slices_per_commit: int | None = None,
+    ) -> Row:
+        """Run a pending, paused or failed job.
+
+        A job with a batch size commits ``slices_per_commit`` slices at a time, in one write and
+        one ledger commit however many there are.  The default is all of them, or one by one if
+        there is something to do in between: ``should_stop``, which is asked before every commit,
+        or a delay.  A stop through the ledger takes effect between commits too.
+        """
+        run_id = uuid.uuid4().hex
+        job = self.mark_running(job_id, run_id)
         try:
-            status = self._run(job, should_stop)
+            status = self._run(job, run_id, should_stop, slices_per_commit)
         except BaseException:
-            self._end(job_id, "failed")
+            self.end_run(job_id, run_id, "failed")
             raise
-        self._end(job_id, status)
+        self.end_run(job_id, run_id, status)
         return self.get_job(job_id)
 
-    def _end(self, job_id: str, status: str) -> None:
-        """Record how a run ended, unless somebody has taken the job out of the running state."""
-        if self.get_job(job_id).status == "running":
-            self.mark(job_id, status)
+    def end_run(self, job_id: str, run_id: str, status: str) -> None:
+        """Record how a run ended, unless somebody has taken the job away from it."""
 
-    def mark_running(self, job_id: str) -> Row:
-        """Take a job that may start into the running state, and return how it was before."""
-        job = self.get_job(job_id)
-        if job.status == "running":
-            raise JobStateError("this job runs at the moment")
-        if job.status in ("completed", "rolled_back"):
-            raise JobStateError(f"a {job.status} job cannot be started again")
-        others = self.jobs_table().where(F.col("target_table") == job.target_table)
-        if not others.where((F.col("job_id") != job_id) & (F.col("status") == "running")).isEmpty():
-            raise JobStateError("another job is writing to this target")
-        self.mark(job_id, "running")
-        return job
+        def decide(jobs: DataFrame) -> dict | None:
+            job = self._job(jobs, job_id)
+            own = job.status == "running" and job.run_id == run_id
+            return {"status": status} if own else None
+
+        self._decide(job_id, decide)
+
+    def mark_running(self, job_id: str, run_id: str | None = None) -> Row:
+        """Take a job that may start into the running state, and return how it was before.
+
+        Of several drivers that do so for one target exactly one succeeds.  ``run_id`` names a run
+        that will see requests to stop and record its own end.
+        """
+        found = []
+
+        def decide(jobs: DataFrame) -> dict:
+            table = F.col("target_table")
+            mine = jobs.where(F.col("job_id") == job_id)
+            rows = jobs.where((F.col("job_id") == job_id) | (F.col("status") == "running"))
+            rows = rows.join(F.broadcast(mine.select(table)), "target_table").collect()
+            job = next((r for r in rows if r.job_id == job_id), None)
+            if job is None:
+                raise LookupError(f"the ledger has no job {job_id}")
+            if job.status == "running":
+                raise JobStateError("this job runs at the moment")
+            if job.status in ("completed", "rolled_back"):
+                raise JobStateError(f"a {job.status} job cannot be started again")
+            if len(rows) > 1:
+                raise JobStateError("another job is writing to this target")
+            found.append(job)
+            return {"status": "running", "run_id": run_id}
+
+        self._decide(job_id, decide)
+        return found[-1]
 
     def mark(self, job_id: str, status: str) -> None:
-        self._append(job_id, status=status)
+        """Change a job's state, if that change is allowed."""
+
+        def decide(jobs: DataFrame) -> dict:
+            row = jobs.where(F.col("job_id") == job_id).select("status").first()
+            now = "none" if row is None else row.status
+            if (now, status) not in ledger.ALLOWED_CHANGES:
+                raise JobStateError(f"a job cannot go from {now} to {status}")
+            return {"status": status}
+
+        self._decide(job_id, decide)
 
     def record_total(self, job_id: str) -> None:
         """Take what was read so far as the job's total, where it is known only at the end."""
         self._append(job_id, total_records=self.get_job(job_id).processed)
 
-    def stop_job(self, job_id: str) -> None:
-        """Take a job out of the running state; its run ends before the next commit."""
-        if self.get_job(job_id).status != "running":
-            raise JobStateError("only a running job can be stopped")
-        self.mark(job_id, "paused")
+    def stop_job(self, job_id: str, abandoned: bool = False) -> None:
+        """Ask a running job to stop.
+
+        Its run ends before its next commit and records the pause itself, so a paused job has no
+        write under way.  A job that no run looks after is paused at once; so is one whose driver
+        is known to be gone, if it is given up as ``abandoned``.
+        """
+
+        def decide(jobs: DataFrame) -> dict:
+            job = self._job(jobs, job_id)
+            if job.status != "running":
+                raise JobStateError("only a running job can be stopped")
+            if job.run_id is None or abandoned:
+                return {"status": "paused"}
+            return {"stop_run": job.run_id}
+
+        self._decide(job_id, decide)
+
+    def stop_requested(self, job_id: str, run_id: str) -> bool:
+        """Whether a run should end: it was asked to, or is not the job's run any more."""
+        job = self.get_job(job_id)
+        return job.status != "running" or job.run_id != run_id or job.stop_run == run_id
 
     def rollback_job(self, job_id: str, ids: DataFrame | None = None) -> int:
         """Delete the target rows of the job's whole id range and return how many there were.
 
         Rows of the range that an earlier job had inserted go too.  ``ids`` replaces the integers
-        of the range where the ids in use are few and far apart.
+        of the range where the ids in use are few and far apart.  Folders outside the range are
+        neither read nor written, those inside it leave the list unread, and only folders that
+        straddle it are written anew.
         """
         job = self.get_job(job_id)
         if job.status in ledger.ACTIVE:
@@ -220,26 +287,44 @@ class Migration:
             raise JobStateError("its rows were rolled back before")
         if job.dry_run or job.first_processed_id is None:
             raise JobStateError("nothing was loaded that could be rolled back")
-        others = self.jobs_table().where(F.col("target_table") == job.target_table)
-        if not others.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
-            raise JobStateError("cannot roll back while another job of the target is active")
+        self._check_idle(self.jobs_table(), job)
         spec = lookup(job.source_table, job.target_table)
-        version = self.target_version(job.target_table)
         target = self.target(spec)
-        rows = target.ensure(version).read(version)
-        doomed = rollback.doomed_keys(
-            self.spark, spec, job.first_processed_id, job.last_processed_id, ids
-        )
-        target.write_version(rollback.rows_to_keep(rows, doomed, spec.key_output), version + 1)
-        deleted = rows.count() - target.read(version + 1).count()
-        self._append(
-            job_id,
-            status="rolled_back",
-            target_table=job.target_table,
-            target_version=version + 1,
-        )
+        first, last = job.first_processed_id, job.last_processed_id
+        version = target.version()
+        before = target.folders()
+        gone, kept = rollback.split_folders(before, first, last, drop_whole=ids is None)
+        deleted = sum(f.rows for f in gone)
+        rewritten = []
+        for folder in kept:
+            low = first if folder.first is None else max(first, folder.first)
+            high = last if folder.last is None else min(last, folder.last)
+            doomed = rollback.doomed_keys(self.spark, spec, low, high, ids)
+            rows = rollback.rows_to_keep(target.read_folders([folder]), doomed, spec.key_output)
+            bounds = rollback.bounds_left(folder, first, last)
+            rewritten.append(target.write_folder(rows, folder.load_id, *bounds))
+            deleted += folder.rows - rewritten[-1].rows
+
+        def change(live: list[Folder]) -> tuple[list[Folder], list[Folder]]:
+            if {f.name for f in live} != {f.name for f in before}:
+                raise JobStateError("the target changed while its rows were rolled back: try again")
+            return [f for f in rewritten if f.rows], gone + kept
+
+        target.list_folders(change, version + 1)
+
+        def decide(jobs: DataFrame) -> dict:
+            self._check_idle(jobs, job)
+            return {"status": "rolled_back"}
+
+        self._decide(job_id, decide)
         return deleted
 
+    @staticmethod
+    def _check_idle(jobs: DataFrame, job: Row) -> None:
+        others = jobs.where(F.col("target_table") == job.target_table)
+        if not others.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
+            raise JobStateError("cannot roll back while another job of the target is active")
+
     def validate_job(self, job_id: str) -> DataFrame:
         """Rows of the source range against the rows the job accounts for."""
         job = self.get_job(job_id)
@@ -263,8 +348,21 @@ class Migration:
     # -- views --------------------------------------------------------------------------------
 
     def events(self) -> DataFrame:
-        events = self.spark.read.option("recursiveFileLookup", "true").schema(EVENTS)
-        return events.parquet(f"{self.root}/ledger")
+        return self._events(self.ledger.latest())
+
+    def _events(self, number: int) -> DataFrame:
+        """All events of the commits up to ``number``: the newest checkpoint and what follows."""
+        start = self.ledger.checkpoint() if number >= CHECKPOINT else 0
+        files = [self.ledger.file(n) for n in range(start + 1, number + 1)]
+        events = None
+        if start:
+            events = self.spark.read.schema(EVENTS).parquet(self.ledger.checkpoint_path(start))
+        if files:
+            commit = F.regexp_substr("_metadata.file_name", F.lit("[0-9]+")).cast("long")
+            seq = F.shiftleft(commit, PLACE_BITS) + F.col("seq")
+            rows = self.spark.read.schema(EVENTS).json(files).withColumn("seq", seq)
+            events = rows if events is None else events.unionByName(rows)
+        return self.spark.createDataFrame([], EVENTS) if events is None else events
 
     def jobs_table(self) -> DataFrame:
         """The current state of every job, folded from its events.
@@ -272,7 +370,10 @@ class Migration:
         Events are folded per load first: a load that ran twice reports twice, and its last report
         describes what is stored.  Events without a load carry the job's own values.
         """
-        jobs = self.spark.sql(JOBS, events=self.events())
+        return self._jobs(self.events())
+
+    def _jobs(self, events: DataFrame) -> DataFrame:
+        jobs = self.spark.sql(JOBS, events=events)
         share = batches.percentage(F.col("processed"), F.col("total_records"))
         return jobs.withColumn("percentage", share)
 
@@ -281,13 +382,19 @@ class Migration:
         return ledger.with_status(self.jobs_table(), status)
 
     def get_job(self, job_id: str) -> Row:
-        job = self.jobs_table().where(F.col("job_id") == job_id).first()
+        return self._job(self.jobs_table(), job_id)
+
+    @staticmethod
+    def _job(jobs: DataFrame, job_id: str) -> Row:
+        job = jobs.where(F.col("job_id") == job_id).first()
         if job is None:
             raise LookupError(f"the ledger has no job {job_id}")
         return job
 
     def job_errors(self, job_id: str) -> DataFrame:
         """Rejected rows of a job: source id, message, and the load that met them."""
+        if not path_exists(self.spark, f"{self.root}/errors"):
+            return self.spark.createDataFrame([], ERRORS)
         errors = self.spark.read.schema(ERRORS).parquet(f"{self.root}/errors")
         return errors.where(F.col("job_id") == job_id)
 
@@ -305,35 +412,29 @@ class Migration:
 
     def target(self, spec: TransformSpec) -> TargetTable:
         """The target of a pair; the source is asked for the columns only before the first load."""
-        path = f"{self.root}/targets/{spec.target}"
-        if path_exists(self.spark, path):
-            try:
-                stored = self.spark.read.option("recursiveFileLookup", "true").parquet(path)
-                return TargetTable(self.spark, path, stored.select(*spec.target_columns()).schema)
-            except AnalysisException:
-                pass  # a first load that died before it had written a file
+        target = TargetTable(self.spark, f"{self.root}/targets/{spec.target}")
+        if target.exists():
+            return target
         source = self.sources[spec.source].read(self.spark)
         mapped = transform.map_rows(source, spec)
-        return TargetTable(self.spark, path, transform.valid_rows(mapped, spec).schema)
+        return TargetTable(self.spark, target.path, transform.valid_rows(mapped, spec).schema)
 
     def target_version(self, target_table: str) -> int:
-        """The version the ledger points to: the last roll-back decides."""
-        found = (
-            self.events()
-            .where(F.col("target_table") == target_table)
-            .agg(F.max("target_version"))
-            .first()[0]
-        )
-        return found or 1
+        """The version of a target's list of folders: every roll-back makes a new one."""
+        return TargetTable(self.spark, f"{self.root}/targets/{target_table}").version()
 
     def target_rows(self, source_table: str) -> DataFrame:
-        spec = lookup(source_table)
-        version = self.target_version(spec.target)
-        return self.target(spec).ensure(version).read(version)
+        return self.target(lookup(source_table)).ensure().read()
 
     # -- running ------------------------------------------------------------------------------
 
-    def _run(self, job: Row, should_stop: Callable[[], bool]) -> str:
+    def _run(
+        self,
+        job: Row,
+        run_id: str,
+        should_stop: Callable[[], bool] | None,
+        slices_per_commit: int | None,
+    ) -> str:
         spec = lookup(job.source_table, job.target_table)
         source = self.sources[spec.source]
         after = job.start_after if job.last_processed_id is None else job.last_processed_id
@@ -341,40 +442,35 @@ class Migration:
         if spec.prepare is None:
             rows = rows.select(*spec.source_columns())
         rows = extract.after_watermark(rows, spec.key, after)
-        if job.batch_size is not None:
-            # Sorted, so that a slice reads the few files that hold its keys.
-            rows = rows.repartitionByRange(spec.key).sortWithinPartitions(spec.key)
+        if job.batch_size is None:
+            if (should_stop is not None and should_stop()) or self.stop_requested(job.job_id, run_id):
+                return "paused"
+            with run_folder(self.spark, f"job-{job.job_id}"):
+                rows = stage(rows, "snapshot") if source.stage else rows
+                self.load(job, spec, rows, self._load_id(job, after), whole_run=True)
+            return "completed"
         with run_folder(self.spark, f"job-{job.job_id}"):
-            if source.stage or job.batch_size is not None:
-                rows = stage(rows, "snapshot")
-            if job.batch_size is None:
-                ends = iter([None])
-            else:
-                self._append(job.job_id, total_records=job.processed + rows.count())
-                ends = self._slice_ends(rows, spec.key, job.batch_size)
-            for end in ends:
-                if should_stop() or self.get_job(job.job_id).status != "running":
-                    return "paused"
-                piece = extract.after_watermark(rows, spec.key, after)
-                if end is not None:
-                    upto = F.col(spec.key) <= end
-                    # Rows without a key are rejected with the first slice of a whole table.
-                    piece = piece.where(upto if after is not None else upto | F.col(spec.key).isNull())
-                load_id = f"{job.job_id}.{'start' if after is None else after}"
-                self.load(job, spec, piece, load_id, whole_run=job.batch_size is None)
-                after = end
-                if job.batch_delay_ms:
+            sliced = stage(batches.slice_rows(rows, spec.key, job.batch_size), "slices")
+            found = sliced.agg(F.max(batches.SLICE), F.count(F.lit(1))).first()
+            last, n_rows = (-1 if found[0] is None else found[0]), found[1]
+            self._append(job.job_id, total_records=job.processed + n_rows)
+            step = slices_per_commit
+            if step is None:
+                step = last + 1 if should_stop is None and not job.batch_delay_ms else 1
+            for start in range(0, last + 1, max(1, step)):
+                if start and job.batch_delay_ms:
                     time.sleep(job.batch_delay_ms / 1000)
+                if should_stop is not None and should_stop():
+                    return "paused"
+                if self.stop_requested(job.job_id, run_id):
+                    return "paused"
+                wave = sliced.where(F.col(batches.SLICE).between(start, start + step - 1))
+                after = self._load_slices(job, spec, wave, after)
         return "completed"
 
     @staticmethod
-    def _slice_ends(rows: DataFrame, key: str, size: int) -> Iterator[int | None]:
-        """The last key of every full slice in order, then ``None`` for the rest."""
-        numbered = batches.number_rows(rows.select(key).where(F.col(key).isNotNull()), key)
-        ends = numbered.where(F.col("row_no") % size == size - 1).select(key).orderBy(key)
-        for row in ends.toLocalIterator():
-            yield row[0]
-        yield None
+    def _load_id(job: Row, after: int | None) -> str:
+        return f"{job.job_id}.{'start' if after is None else after}"
 
     def load(
         self,
@@ -390,64 +486,151 @@ class Migration:
         in passing, which a lost executor would count twice.
         """
         with run_folder(self.spark, "load"):
-            counts = self._load(job, spec, rows, load_id)
-        if counts is None:
-            return dict.fromkeys(COUNTERS, 0)
-        total = job.processed + counts["processed"] if whole_run else None
-        self._append(job.job_id, load_id=load_id, total_records=total, **counts)
-        return {name: counts[name] for name in COUNTERS}
-
-    def _load(
-        self, job: Row, spec: TransformSpec, rows: DataFrame, load_id: str
-    ) -> dict[str, int] | None:
-        mapped = transform.map_rows(rows, spec)
-        seen = mapped.agg(
+            mapped = transform.map_rows(rows, spec)
+            seen = mapped.agg(*self._seen()).first()
+            if seen.processed == 0:
+                return dict.fromkeys(COUNTERS, 0)
+            inserted = self._write(job, spec, mapped, seen, load_id)
+        counts = {
+            "processed": seen.processed,
+            "success": inserted,
+            "failed": seen.failed,
+            "skipped": seen.processed - seen.failed - inserted,
+        }
+        total = job.processed + seen.processed if whole_run else None
+        self._append(
+            job.job_id, load_id=load_id, total_records=total,
+            first_id=seen.first_id, last_id=seen.last_id, **counts,
+        )
+        return counts
+
+    @staticmethod
+    def _seen() -> list:
+        return [
             F.count(F.lit(1)).alias("processed"),
             F.count(transform.ERROR).alias("failed"),
             F.min(transform.SOURCE_ID).alias("first_id"),
             F.max(transform.SOURCE_ID).alias("last_id"),
             F.count_distinct(transform.SOURCE_ID).alias("ids"),
             F.count(transform.SOURCE_ID).alias("with_id"),
-        ).first()
-        if seen.processed == 0:
-            return None
-        n_valid = seen.processed - seen.failed
-        inserted = n_valid
+        ]
+
+    def _write(
+        self,
+        job: Row,
+        spec: TransformSpec,
+        mapped: DataFrame,
+        seen: Row,
+        load_id: str,
+        beside: tuple[str, ...] = (),
+    ) -> int:
+        """Write what the target lacks, and the rejects; return the number of rows inserted.
+
+        Only folders that may hold ids of the load's range are searched for its keys.
+        """
+        inserted = n_valid = seen.processed - seen.failed
         if not job.dry_run and n_valid:
-            version = self.target_version(spec.target)
-            target = self.target(spec).ensure(version)
-            fresh = load.insert_if_absent(
-                transform.valid_rows(mapped, spec),
-                target.read(version, without_load=load_id),
-                spec.key_output,
-                find_first=True,
-                unique=seen.ids == seen.with_id,
-            )
-            inserted = target.write_load(fresh, load_id, version)
-        errors = f"{self.root}/errors/{self._error_folder(job.job_id, load_id)}"
+            target = self.target(spec).ensure()
+            near = [
+                f for f in target.folders()
+                if f.load_id != load_id and f.meets(seen.first_id, seen.last_id)
+            ]
+            valid = mapped.where(F.col(transform.ERROR).isNull())
+            valid = valid.select(*spec.target_columns(), *beside)
+            unique = seen.ids == seen.with_id
+            if near or not unique:
+                valid = load.insert_if_absent(
+                    valid, target.read_folders(near), spec.key_output, find_first=True, unique=unique
+                )
+            bounds = (seen.first_id, seen.last_id)
+            inserted = target.write_load(valid, load_id, None, *bounds, beside=beside)
+        errors = f"{self.root}/errors/job_id={job.job_id}/load_id={load_id}"
         if seen.failed or path_exists(self.spark, errors):
             rejects = transform.rejected_rows(mapped).withColumn("id", F.col("id").cast("long"))
             rejects.write.mode("overwrite").parquet(errors)
-        return {
-            "processed": seen.processed,
-            "success": inserted,
-            "failed": seen.failed,
-            "skipped": n_valid - inserted,
-            "first_id": seen.first_id,
-            "last_id": seen.last_id,
-        }
+        return inserted
 
-    # -- ledger rows --------------------------------------------------------------------------
+    def _load_slices(
+        self, job: Row, spec: TransformSpec, rows: DataFrame, after: int | None
+    ) -> int | None:
+        """Load slices in one write and report each, all in one ledger commit; return the last id.
 
-    def _append(self, job_id: str, **values) -> None:
-        self._last_seq = max(self._last_seq + 1, time.time_ns())
-        given = {f.name: values.get(f.name) for f in EVENTS if f.name != "at"}
-        given |= {"job_id": job_id, "seq": self._last_seq}
-        event = self.spark.sql(f"SELECT {NEW_EVENT}", args=given)
-        # A folder per event: writers that share one also share its temporary files.
-        folder = f"{self._last_seq}-{uuid.uuid4().hex}"
-        event.coalesce(1).write.parquet(f"{self.root}/ledger/{folder}")
+        The slice is stored beside the rows it inserted, from where the rows per slice are counted.
+        """
+        load_id = self._load_id(job, after)
+        with run_folder(self.spark, "load"):
+            mapped = transform.map_rows(rows, spec, keep=(batches.SLICE,))
+            slices = stage(mapped.groupBy(batches.SLICE).agg(*self._seen()), "seen")
+            seen = slices.agg(
+                *[F.sum(c).alias(c) for c in ("processed", "failed", "ids", "with_id")],
+                F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"),
+            ).first()
+            self._write(job, spec, mapped, seen, load_id, beside=(batches.SLICE,))
+            valid = F.col("processed") - F.col("failed")
+            success = valid
+            if not job.dry_run:
+                target = self.target(spec).ensure()
+                own = [f"{target.path}/{f.name}" for f in target.folders() if f.load_id == load_id]
+                stored = T.StructType([T.StructField(batches.SLICE, T.IntegerType())])
+                written = self.spark.read.schema(stored).parquet(*own) if own else self.spark.createDataFrame([], stored)
+                inserted = written.groupBy(batches.SLICE).agg(F.count(F.lit(1)).alias("inserted"))
+                slices = slices.join(inserted, batches.SLICE, "left")
+                success = F.coalesce("inserted", F.lit(0).cast("long"))
+            # Slices are numbered and hold consecutive ids; each is named after where it starts.
+            before = Window.orderBy(batches.SLICE)
+            start = F.coalesce(F.lag("last_id").over(before).cast("string"), F.lit("start" if after is None else str(after)))
+            events = slices.select(
+                (F.row_number().over(before) - 1).cast("long").alias("seq"),
+                F.lit(self._now()).alias("at"),
+                F.lit(job.job_id).alias("job_id"),
+                F.concat(F.lit(f"{job.job_id}."), start).alias("load_id"),
+                "processed", success.alias("success"), "failed",
+                (valid - success).alias("skipped"),
+                F.col("first_id").cast("long"), F.col("last_id").cast("long"),
+            )
+            self._append_rows(events)
+        return after if seen.last_id is None else seen.last_id
+
+    # -- ledger commits -----------------------------------------------------------------------
 
     @staticmethod
-    def _error_folder(job_id: str = "none", load_id: str = "none") -> str:
-        return f"job_id={job_id}/load_id={load_id}"
+    def _now() -> str:
+        return datetime.datetime.now(datetime.UTC).isoformat()
+
+    def _append(self, job_id: str, **values) -> None:
+        """Record what no other commit can contradict."""
+        line = json.dumps({"seq": 0, "at": self._now(), "job_id": job_id, **values})
+        while not self._commit(self.ledger.latest() + 1, lambda number: self.ledger.put(number, line)):
+            pass
+
+    def _append_rows(self, events: DataFrame) -> None:
+        """The same for any number of events, which Spark writes as the file of one commit."""
+        while True:
+            draft = scratch_path(self.spark, "commit")
+            events.coalesce(1).write.json(draft)
+            (name,) = [n for n in list_names(self.spark, draft) if n.endswith(".json")]
+            done = self._commit(
+                self.ledger.latest() + 1, lambda number: self.ledger.put_file(number, f"{draft}/{name}")
+            )
+            remove_path(self.spark, draft)
+            if done:
+                return
+
+    def _decide(self, job_id: str, decide: Callable[[DataFrame], dict | None]) -> None:
+        """Append what ``decide`` makes of the jobs so far; again if another commit came between."""
+        while True:
+            number = self.ledger.latest()
+            values = decide(self._jobs(self._events(number)))
+            if values is None:
+                return
+            line = json.dumps({"seq": 0, "at": self._now(), "job_id": job_id, **values})
+            if self._commit(number + 1, lambda n: self.ledger.put(n, line)):
+                return
+
+    def _commit(self, number: int, put: Callable[[int], bool]) -> bool:
+        if not put(number):
+            return False
+        if number % CHECKPOINT == 0:
+            self._events(number).write.mode("overwrite").parquet(self.ledger.checkpoint_path(number))
+            self.ledger.point_to_checkpoint(number)
+        return True

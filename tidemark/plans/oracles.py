@@ -47,6 +47,10 @@ half AS (
   FROM person)
 """
 
+# The third of the key range that an id lies in.
+BOUNDS = "(SELECT min(id) AS lo, max(id) AS hi FROM person)"
+THIRD = "CASE WHEN id <= lo + (hi - lo) // 3 THEN 1 WHEN id <= lo + (hi - lo) * 2 // 3 THEN 2 ELSE 3 END"
+
 TARGET = "person_uuid, full_name, email, market_segment, nation_id, balance"
 
 LEDGER = """
@@ -345,6 +349,28 @@ ORACLES = {
         FROM states""",
     "ensure_orders": """
         SELECT true AS seeded, false AS seeded_again, count(o_orderkey) AS n_rows FROM orders""",
+    "target_ranges": f"""
+        WITH {PERSON}, thirds AS (SELECT *, {THIRD} AS third FROM checked, {BOUNDS})
+        SELECT min(id) AS first_id, max(id) AS last_id, count(*) - count(error) AS n_rows
+        FROM thirds GROUP BY third""",
+    "rollback_middle": f"""
+        WITH {PERSON}, thirds AS (SELECT *, {THIRD} AS third FROM valid, {BOUNDS})
+        SELECT {TARGET} FROM thirds WHERE third <> 2""",
+    "slice_assign": f"""
+        WITH numbered AS (
+          SELECT o_custkey AS k, row_number() OVER (ORDER BY o_custkey) - 1 AS n FROM orders),
+        slices AS (
+          SELECT k, count(*) AS n_rows,
+                 coalesce(min(n // {BATCH}) FILTER (WHERE n % {BATCH} = {BATCH - 1}), min(n // {BATCH})) AS slice_no
+          FROM numbered GROUP BY k)
+        SELECT slice_no, CAST(sum(n_rows) AS BIGINT) AS n_rows, min(k) AS first_id, max(k) AS last_id
+        FROM slices GROUP BY slice_no""",
+    "stream_stopped": f"""
+        WITH {PERSON}
+        SELECT status, count(*) AS processed, count(*) - count(error) AS success, count(error) AS failed,
+               0::BIGINT AS bad_changes
+        FROM checked, (VALUES ('paused'), ('completed')) AS s(status)
+        WHERE id % 4 = 0 OR status = 'completed' GROUP BY status""",
     "stream_migrate": f"WITH {PERSON} SELECT {TARGET} FROM valid",
     "stream_by_file": f"""
         WITH {PERSON}

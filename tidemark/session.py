@@ -100,20 +100,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.exists(hadoop_path)
+    system, hadoop_path = file_system(spark, path)
+    return system.exists(hadoop_path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    system, hadoop_path = file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(hadoop_path)]
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.getFileStatus(hadoop_path).isDirectory()
+    system, hadoop_path = file_system(spark, path)
+    return system.getFileStatus(hadoop_path).isDirectory()
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    file_system, hadoop_path = _file_system(spark, path)
-    file_system.delete(hadoop_path, True)
+    system, hadoop_path = file_system(spark, path)
+    system.delete(hadoop_path, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as its object."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
