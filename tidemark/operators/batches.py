@@ -92,26 +92,22 @@ def percentage(done: Column, total: Column) -> Column:
 def slice_rows(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Add ``_slice``: consecutive slices of ``size`` rows in key order, no key in two of them.
 
-    Only keys and the places of their rows are sorted; rows without a key go to the first slice.
-    A key whose rows reach over the end of a slice belongs to the slice it begins in, and that slice takes
-    all of them.
+    The rows are sorted and staged once.  Rows without a key go to the first slice.  A key whose
+    rows reach over the end of a slice belongs to the slice it begins in, and that slice takes all
+    of them; the place of a row is part of the order, so even a key with very many rows is sorted in
+    several pieces.
     """
     place = "_place_of_row"
-    placed = stage(rows.withColumn(place, F.monotonically_increasing_id()), "placed")
-    numbered = number_rows(placed.select(key, place).where(F.col(key).isNotNull()), key, place)
-    numbered = numbered.withColumn(SLICE, whole_part(F.col("row_no"), size).cast("int"))
-    numbered = stage(numbered, "slices")
+    keyed = rows.where(F.col(key).isNotNull()).withColumn(place, F.monotonically_increasing_id())
+    number = whole_part(F.col("row_no"), size).cast("int")
+    numbered = number_rows(keyed, key, place).drop(place).withColumn(SLICE, number)
     ends = numbered.where(F.col("row_no") % size == size - 1).select(key, F.col(SLICE).alias("_first"))
     starts = numbered.where(F.col("row_no") % size == 0).select(key).distinct()
     # A row for each key at the end of a slice that goes on in the next.
     split = stage(ends.join(starts, key).groupBy(key).agg(F.min("_first").alias("_first")), "split")
-    numbers = numbered.select(key, place, SLICE)
+    numbered = numbered.drop("row_no")
     if not split.isEmpty():
-        numbers = numbers.join(split, key, "left").withColumn(SLICE, F.coalesce("_first", SLICE))
-        # Slices that lost all their rows to the one before leave gaps; names do not depend on them.
-    numbers = numbers.select(place, SLICE)
-    return (
-        placed.join(numbers, place, "left")
-        .withColumn(SLICE, F.coalesce(SLICE, F.lit(0)))
-        .drop(place)
-    )
+        first = F.coalesce("_first", SLICE)
+        numbered = numbered.join(split, key, "left").withColumn(SLICE, first).drop("_first")
+    keyless = rows.where(F.col(key).isNull()).withColumn(SLICE, F.lit(0))
+    return numbered.unionByName(keyless)

@@ -61,6 +61,9 @@ ERRORS = _struct(id="long", error="string", job_id="string", load_id="string")
 
 COUNTERS = ("processed", "success", "failed", "skipped")
 
+# What decides whether a job's state may change.
+CONTROL = ("status", "source_table", "target_table", "run_id", "stop_run")
+
 # Events of a commit are in order of their place; the number of the commit comes before it.
 PLACE_BITS = 32
 
@@ -126,6 +129,7 @@ class Migration:
         self.root = root.rstrip("/")
         self.sources = sources
         self.ledger = CommitLog(spark, f"{self.root}/ledger")
+        self._states: tuple[int, dict[str, dict]] = (0, {})
 
     # -- jobs ---------------------------------------------------------------------------------
 
@@ -150,15 +154,15 @@ class Migration:
         reached = F.coalesce("last_processed_id", "start_after")
         job_id = str(uuid.uuid4())
 
-        def decide(jobs: DataFrame) -> dict:
-            known = jobs.where(pair).agg(
-                F.count_if(F.col("status").isin(ledger.ACTIVE)).alias("active"),
-                F.max_by(reached, F.when(done, F.col("created_seq"))).alias("resume_after"),
-            ).first()
-            if known.active:
-                raise JobStateError(
-                    "this pair has a job that is pending or running: wait for it or stop it"
-                )
+        def decide(states: dict[str, dict], number: int) -> dict:
+            for job in states.values():
+                own = (job["source_table"], job["target_table"]) == (source_table, target_table)
+                if own and job["status"] in ledger.ACTIVE:
+                    raise JobStateError(
+                        "this pair has a job that is pending or running: wait for it or stop it"
+                    )
+            runs = self._jobs(self._events(number)).where(pair & done)
+            known = runs.agg(F.max_by(reached, "created_seq").alias("resume_after")).first()
             return {
                 "status": "pending",
                 "source_table": source_table,
@@ -198,9 +202,9 @@ class Migration:
     def end_run(self, job_id: str, run_id: str, status: str) -> None:
         """Record how a run ended, unless somebody has taken the job away from it."""
 
-        def decide(jobs: DataFrame) -> dict | None:
-            job = self._job(jobs, job_id)
-            own = job.status == "running" and job.run_id == run_id
+        def decide(states: dict[str, dict], number: int) -> dict | None:
+            job = self._known(states, job_id)
+            own = job["status"] == "running" and job["run_id"] == run_id
             return {"status": status} if own else None
 
         self._decide(job_id, decide)
@@ -211,34 +215,26 @@ class Migration:
         Of several drivers that do so for one target exactly one succeeds.  ``run_id`` names a run
         that will see requests to stop and record its own end.
         """
-        found = []
-
-        def decide(jobs: DataFrame) -> dict:
-            table = F.col("target_table")
-            mine = jobs.where(F.col("job_id") == job_id)
-            rows = jobs.where((F.col("job_id") == job_id) | (F.col("status") == "running"))
-            rows = rows.join(F.broadcast(mine.select(table)), "target_table").collect()
-            job = next((r for r in rows if r.job_id == job_id), None)
-            if job is None:
-                raise LookupError(f"the ledger has no job {job_id}")
-            if job.status == "running":
+
+        def decide(states: dict[str, dict], number: int) -> dict:
+            job = self._known(states, job_id)
+            if job["status"] == "running":
                 raise JobStateError("this job runs at the moment")
-            if job.status in ("completed", "rolled_back"):
-                raise JobStateError(f"a {job.status} job cannot be started again")
-            if len(rows) > 1:
-                raise JobStateError("another job is writing to this target")
-            found.append(job)
+            if job["status"] in ("completed", "rolled_back"):
+                raise JobStateError(f"a {job['status']} job cannot be started again")
+            for other in states.values():
+                if other["target_table"] == job["target_table"] and other["status"] == "running":
+                    raise JobStateError("another job is writing to this target")
             return {"status": "running", "run_id": run_id}
 
-        self._decide(job_id, decide)
-        return found[-1]
+        number = self._decide(job_id, decide)
+        return self._job(self._jobs(self._events(number - 1)), job_id)
 
     def mark(self, job_id: str, status: str) -> None:
         """Change a job's state, if that change is allowed."""
 
-        def decide(jobs: DataFrame) -> dict:
-            row = jobs.where(F.col("job_id") == job_id).select("status").first()
-            now = "none" if row is None else row.status
+        def decide(states: dict[str, dict], number: int) -> dict:
+            now = states[job_id]["status"] if job_id in states else "none"
             if (now, status) not in ledger.ALLOWED_CHANGES:
                 raise JobStateError(f"a job cannot go from {now} to {status}")
             return {"status": status}
@@ -257,20 +253,20 @@ class Migration:
         is known to be gone, if it is given up as ``abandoned``.
         """
 
-        def decide(jobs: DataFrame) -> dict:
-            job = self._job(jobs, job_id)
-            if job.status != "running":
+        def decide(states: dict[str, dict], number: int) -> dict:
+            job = self._known(states, job_id)
+            if job["status"] != "running":
                 raise JobStateError("only a running job can be stopped")
-            if job.run_id is None or abandoned:
+            if job["run_id"] is None or abandoned:
                 return {"status": "paused"}
-            return {"stop_run": job.run_id}
+            return {"stop_run": job["run_id"]}
 
         self._decide(job_id, decide)
 
     def stop_requested(self, job_id: str, run_id: str) -> bool:
         """Whether a run should end: it was asked to, or is not the job's run any more."""
-        job = self.get_job(job_id)
-        return job.status != "running" or job.run_id != run_id or job.stop_run == run_id
+        job = self._known(self._states_at(self.ledger.latest()), job_id)
+        return job["status"] != "running" or job["run_id"] != run_id or job["stop_run"] == run_id
 
     def rollback_job(self, job_id: str, ids: DataFrame | None = None) -> int:
         """Delete the target rows of the job's whole id range and return how many there were.
@@ -287,7 +283,7 @@ class Migration:
             raise JobStateError("its rows were rolled back before")
         if job.dry_run or job.first_processed_id is None:
             raise JobStateError("nothing was loaded that could be rolled back")
-        self._check_idle(self.jobs_table(), job)
+        self._check_idle(self._states_at(self.ledger.latest()), job)
         spec = lookup(job.source_table, job.target_table)
         target = self.target(spec)
         first, last = job.first_processed_id, job.last_processed_id
@@ -312,18 +308,18 @@ class Migration:
 
         target.list_folders(change, version + 1)
 
-        def decide(jobs: DataFrame) -> dict:
-            self._check_idle(jobs, job)
+        def decide(states: dict[str, dict], number: int) -> dict:
+            self._check_idle(states, job)
             return {"status": "rolled_back"}
 
         self._decide(job_id, decide)
         return deleted
 
     @staticmethod
-    def _check_idle(jobs: DataFrame, job: Row) -> None:
-        others = jobs.where(F.col("target_table") == job.target_table)
-        if not others.where(F.col("status").isin(ledger.ACTIVE)).isEmpty():
-            raise JobStateError("cannot roll back while another job of the target is active")
+    def _check_idle(states: dict[str, dict], job: Row) -> None:
+        for other in states.values():
+            if other["target_table"] == job.target_table and other["status"] in ledger.ACTIVE:
+                raise JobStateError("cannot roll back while another job of the target is active")
 
     def validate_job(self, job_id: str) -> DataFrame:
         """Rows of the source range against the rows the job accounts for."""
@@ -450,7 +446,8 @@ class Migration:
                 self.load(job, spec, rows, self._load_id(job, after), whole_run=True)
             return "completed"
         with run_folder(self.spark, f"job-{job.job_id}"):
-            sliced = stage(batches.slice_rows(rows, spec.key, job.batch_size), "slices")
+            rows = stage(rows, "snapshot") if source.stage else rows
+            sliced = batches.slice_rows(rows, spec.key, job.batch_size)
             found = sliced.agg(F.max(batches.SLICE), F.count(F.lit(1))).first()
             last, n_rows = (-1 if found[0] is None else found[0]), found[1]
             self._append(job.job_id, total_records=job.processed + n_rows)
@@ -616,21 +613,54 @@ class Migration:
             if done:
                 return
 
-    def _decide(self, job_id: str, decide: Callable[[DataFrame], dict | None]) -> None:
-        """Append what ``decide`` makes of the jobs so far; again if another commit came between."""
+    def _decide(
+        self, job_id: str, decide: Callable[[dict[str, dict], int], dict | None]
+    ) -> int:
+        """Append what ``decide`` makes of the jobs' states so far, again if another commit came
+        between; return the number of the commit, or the newest where there was nothing to say."""
         while True:
             number = self.ledger.latest()
-            values = decide(self._jobs(self._events(number)))
+            values = decide(self._states_at(number), number)
             if values is None:
-                return
+                return number
             line = json.dumps({"seq": 0, "at": self._now(), "job_id": job_id, **values})
             if self._commit(number + 1, lambda n: self.ledger.put(n, line)):
-                return
+                return number + 1
+
+    def _states_at(self, number: int) -> dict[str, dict]:
+        """What the commits up to ``number`` say of each job's state: a few names per job.
+
+        A commit that changes a state is a single row; of others the first row is enough to see
+        that they do not.
+        """
+        known, states = self._states
+        if known > number:
+            known, states = 0, {}
+        start = self.ledger.checkpoint() if number - known >= CHECKPOINT else 0
+        if known < start <= number:
+            known, states = start, json.loads(self.ledger.read_checkpoint(start))
+        states = {job_id: dict(job) for job_id, job in states.items()}
+        for commit in range(known + 1, number + 1):
+            event = json.loads(self.ledger.first_line(commit))
+            given = {name: event[name] for name in CONTROL if event.get(name) is not None}
+            if not given:
+                continue
+            if "status" in given and given["status"] == "running":
+                given.setdefault("run_id", None)
+            states.setdefault(event["job_id"], dict.fromkeys(CONTROL)).update(given)
+        self._states = (number, states)
+        return states
+
+    @staticmethod
+    def _known(states: dict[str, dict], job_id: str) -> dict:
+        if job_id not in states:
+            raise LookupError(f"the ledger has no job {job_id}")
+        return states[job_id]
 
     def _commit(self, number: int, put: Callable[[int], bool]) -> bool:
         if not put(number):
             return False
         if number % CHECKPOINT == 0:
             self._events(number).write.mode("overwrite").parquet(self.ledger.checkpoint_path(number))
-            self.ledger.point_to_checkpoint(number)
+            self.ledger.write_checkpoint(number, json.dumps(self._states_at(number)))
         return True
