@@ -285,6 +285,17 @@ def test_packing(spark):
     assert packing.pack(docs.where("false"), path).count() == 0
 
 
+def test_words_in_parts_have_the_ids_of_the_whole():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, parts = Tokenizer.from_file(path), packing.WordEncoder(path)
+    signs = [*"abzAZ09'.,!?-_<|>()$é É ß İ Σ ς 中 ½ ´", "\u0301", "\u200b", "\xa0", "\t", "don't", "'LL"]
+    signs += ["<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|>", " ", " ", "the.", "Éaux,"]
+    for _ in range(3000):
+        text = "".join(RNG.choice(signs) for _ in range(RNG.randrange(30)))
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(parts.encode(text), "<u4").tolist() == ids, text
+
+
 def test_packed_rows_hold_ids(spark):
     from corpus_pipeline import pack_sequences
 

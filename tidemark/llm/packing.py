@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import Scratch, plain_text, ship, slices
+from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
 CACHE_WORDS = 600_000  # about 120 MB
 # ASCII characters that are neither letters nor digits; the apostrophe begins parts of its own.
 SYMBOLS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+SYMBOL_BYTES = SYMBOLS.encode()
 ASCII_PARTS = re.compile("[a-zA-Z]+|[0-9]|[^a-zA-Z0-9]+")
 WORD_END = "</w>"
 
@@ -35,14 +36,17 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordEncoder:
     """Token ids of texts, remembering the ids of each word between ASCII white space.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of
-    its words in a row.  New words are encoded together and told apart by the tokens that end a
-    word, where it is plain how many of these a word has; the rest one by one, as are all of a
-    group whose total differs.
+    The tokenizer drops white space and never joins across it, and reads A-Z as a-z, so the ids of a
+    text are those of its lower-cased words in a row.  It also parts letters from the symbols behind
+    them, so a new word of letters with symbols at its end is put together from both.  Words of a-z
+    and runs of symbols are themselves what its model merges, and go straight to that.  Other new
+    words are encoded together and told apart by the tokens that end a word, where it is plain how
+    many of these a word has; the rest one by one, as are all of a group whose total differs.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -63,7 +67,33 @@ class WordEncoder:
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _merge(self, part: bytes) -> bytes:
+        """Ids of a part that the tokenizer passes to its model as it is."""
+        ids = self.ids.get(part)
+        if ids is None:
+            ids = np.array([t.id for t in self.model.tokenize(part.decode())], "<u4").tobytes()
+            self.ids[part] = ids
+        return ids
+
     def _learn(self, words: set[bytes]) -> None:
+        """Split symbols off the ends of words of letters, and learn what is left to learn."""
+        others, joined = set(), []
+        for word in words:
+            core = word.rstrip(SYMBOL_BYTES)
+            tail = word[len(core) :]
+            if not core or core.isalpha() and core.islower():
+                self.ids[word] = (self._merge(core) if core else b"") + (self._merge(tail) if tail else b"")
+            elif tail and not core.isascii() and core.decode().lower().isalpha():
+                joined.append((word, core, tail))
+                if core not in self.ids:
+                    others.add(core)
+            else:
+                others.add(word)
+        self._encode_all(others)
+        for word, core, tail in joined:
+            self.ids[word] = self.ids[core] + self._merge(tail)
+
+    def _encode_all(self, words: set[bytes]) -> None:
         texts = {word: word.decode() for word in words}
         parts = {word: self._parts(text) for word, text in texts.items()}
         plain = [word for word, n in parts.items() if n]
@@ -85,7 +115,9 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        words = text.encode("utf-8", "replace").split()
+        data = text.encode("utf-8", "replace")
+        # Reserved strings are known by their case.
+        words = (data if b"<|" in data else data.lower()).split()
         new = set(words).difference(self.ids)
         if new:
             if len(self.ids) + len(new) > CACHE_WORDS:
@@ -105,22 +137,25 @@ def _pieces(path: str, size: int, with_ids: bool):
         end = np.array([0], "<u4").tobytes()
         for batch in slices(batches):
             rows: list[tuple] = []
+            parts: list[bytes] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 data = encoder.encode(text.as_py()) + end
                 for piece, at in enumerate(range(0, len(data), size * 4)):
                     part = data[at : at + size * 4]
-                    row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append((*row, np.frombuffer(part, "<u4")) if with_ids else row)
-            columns = list(zip(*rows)) or [()] * (6 if with_ids else 5)
+                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    parts.append(part)
+            columns = list(zip(*rows)) or [()] * 5
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             if with_ids:
-                types.append(pa.list_(pa.int32()))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names
-            )
+                offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("i4")
+                flat = np.frombuffer(b"".join(parts), "<i4")
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(arrays, names)
         encoder.ids.clear()  # the worker goes on to other stages
+        give_back()
 
     return run
 
