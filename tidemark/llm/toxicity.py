@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.common import Scratch, plain_text, ship, slices
+from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices
 
 FEATURE_BITS = 20
 MAX_LABELLED = 12_000
@@ -170,11 +170,13 @@ def score(model: Model, docs: DataFrame, text: str = "text") -> Column:
         bias = shared.value[2]
         for texts in batches:
             sums = np.full(len(texts), bias)
-            for start, index, of in _features(list(texts)):
-                hit = table[index] != 0
-                index, of = _distinct(index[hit], of[hit])
-                np.add.at(sums, of + start, table[index].astype("f8"))
+            for first in range(0, len(texts), 512):  # so that its features stay small beside the texts
+                for start, index, of in _features(list(texts.iloc[first : first + 512])):
+                    hit = table[index] != 0
+                    index, of = _distinct(index[hit], of[hit])
+                    np.add.at(sums, of + start + first, table[index].astype("f8"))
             yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
+        give_back()
 
     return probability(plain_text(text))
 
