@@ -285,9 +285,10 @@ def test_packing(spark):
     assert packing.pack(docs.where("false"), path).count() == 0
 
 
-def test_words_in_parts_have_the_ids_of_the_whole():
+@pytest.mark.parametrize("cache_words", [600_000, 50])
+def test_words_in_parts_have_the_ids_of_the_whole(cache_words):
     path = public_tokenizers.path("word_bpe_49k.json")
-    whole, parts = Tokenizer.from_file(path), packing.WordEncoder(path)
+    whole, parts = Tokenizer.from_file(path), packing.WordEncoder(path, cache_words)
     signs = [*"abzAZ09'.,!?-_<|>()$é É ß İ Σ ς 中 ½ ´", "\u0301", "\u200b", "\xa0", "\t", "don't", "'LL"]
     signs += ["<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|>", " ", " ", "the.", "Éaux,"]
     for _ in range(3000):

@@ -23,7 +23,7 @@ from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
-CACHE_WORDS = 600_000  # about 120 MB
+CACHE_WORDS = 600_000  # about 120 MB, and as much again once a second generation begins
 # ASCII characters that are neither letters nor digits; the apostrophe begins parts of its own.
 SYMBOLS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 SYMBOL_BYTES = SYMBOLS.encode()
@@ -44,13 +44,15 @@ class WordEncoder:
     many of these a word has; the rest one by one, as are all of a group whose total differs.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.ids: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _parts(self, text: str) -> int:
         """Into how many parts the tokenizer splits a word before merging; 0: not plain."""
@@ -120,20 +122,28 @@ class WordEncoder:
         words = (data if b"<|" in data else data.lower()).split()
         new = set(words).difference(self.ids)
         if new:
-            if len(self.ids) + len(new) > CACHE_WORDS:
-                self.ids.clear()
+            if len(self.ids) + len(new) > self.cache_words:
+                # Words that come again move on to the next generation, rare ones are forgotten.
+                self.before, self.ids = self.ids, {}
                 new = set(words)
-            self._learn(new)
+            known = {word for word in new if word in self.before}
+            self.ids.update((word, self.before[word]) for word in known)
+            new -= known
+            if new:
+                self._learn(new)
         return b"".join(map(self.ids.__getitem__, words))
 
+    def forget(self) -> None:
+        self.ids, self.before = {}, {}
+
 
 _encoders: dict[str, WordEncoder] = {}
 
 
-def _pieces(path: str, size: int, with_ids: bool):
+def _pieces(path: str, size: int, with_ids: bool, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(path, None) or WordEncoder(path)
-        _encoders[path] = encoder
+        _encoders[path], encoder.cache_words = encoder, cache_words
         end = np.array([0], "<u4").tobytes()
         for batch in slices(batches):
             rows: list[tuple] = []
@@ -154,7 +164,7 @@ def _pieces(path: str, size: int, with_ids: bool):
                 flat = np.frombuffer(b"".join(parts), "<i4")
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
             yield pa.RecordBatch.from_arrays(arrays, names)
-        encoder.ids.clear()  # the worker goes on to other stages
+        encoder.forget()  # the worker goes on to other stages
         give_back()
 
     return run
@@ -248,7 +258,11 @@ def _pack(size: int):
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, with_ids: bool = True
+    docs: DataFrame,
+    tokenizer: str,
+    size: int = SEQUENCE_TOKENS,
+    with_ids: bool = True,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32``, ``ids`` if asked for, and
     its place, ``sequence_id, offset``.
@@ -256,12 +270,13 @@ def pack(
     A document is its token ids and a closing id 0; null and empty texts are that id alone.
     Documents above ``size`` tokens are cut into pieces of ``size``, the last may be shorter.
     Repeated rows are packed as often as they occur.  An empty table gives no rows; other columns
-    are not read.
+    are not read.  ``cache_words`` bounds the words that a task remembers, some 200 bytes each: fewer
+    cost time and change no result.
     """
     scratch = Scratch(docs.sparkSession, "pack")
     schema = PIECES + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))
-    pieces = texts.mapInArrow(_pieces(tokenizer, size, with_ids), schema)
+    pieces = texts.mapInArrow(_pieces(tokenizer, size, with_ids, cache_words), schema)
     pieces = scratch.stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-pieces.count() // SHARD_PIECES))
     dealt = pieces.select("_row", "length").repartition(shards, "_row")
