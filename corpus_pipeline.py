@@ -32,7 +32,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(docs, vocabulary)
+    # A task remembers fewer words than by default: executors still hold what earlier stages took.
+    return packing.pack(docs, vocabulary, cache_words=100_000)
 
 
 STAGES = [
