@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -169,6 +170,64 @@ def test_secrets_by_entropy_after_delimiters_and_of_every_class(spark):
     assert got[10:] == ["", ""]
 
 
+def base_spans(text):
+    """Counts and spans of the fixed kinds by plain re."""
+    kinds = [(secrets.ASSIGN, 2, secrets.ASSIGN_VALUE_CHARS), (secrets.ACCESS, 0, secrets.ACCESS_CHARS), (secrets.HEX, 0, secrets.HEX_CHARS)]
+    found = [
+        [(m.start(), k, name, m.end()) for m in re.finditer(pattern, text, re.ASCII) if len(m[group]) >= chars]
+        for k, (name, (pattern, group, chars)) in enumerate(zip(("assign", "access", "hex"), kinds))
+    ]
+    joined = ",".join(f"{name}:{start}:{stop}" for start, _, name, stop in sorted(sum(found, [])))
+    return *map(len, found), joined
+
+
+def entropy_of(text):
+    """Spans by entropy by plain re, before the allow-list of parts."""
+    spans = []
+    for k, of in enumerate(secrets.CLASSES):
+        letters = re.escape(of.alphabet.replace("=", ""))
+        n = of.window
+        string = f"[{letters}]{{{n},}}" if "=" not in of.alphabet else f"(?:[{letters}]{{{n},}}={{0,2}}|[{letters}]{{{n - 1}}}={{1,2}}|[{letters}]{{{n - 2}}}==)"
+        for m in re.finditer(f"(?<![{of.inside}]){string}(?![{of.inside}])", text):
+            if all(re.search(x, m[0]) for x in of.needs) and not any(re.search(x, m[0]) for x in secrets.ALLOWED_WHOLE):
+                for a, b in entropy_cover(m[0], of):
+                    if not any(re.search(x, m[0][a:b]) for x in secrets.ALLOWED):
+                        spans.append((m.start() + a, 4 + k, of.name, m.start() + b))
+    return spans
+
+
+def test_secrets_of_whole_tables_equal_plain_re(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet", "/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect()] + ["token=abcdef " * 700 + "x" * 30, "é😀 secret: abcdefgh AKIA" + "Z9" * 300]
+    got = secrets.find_secrets(docs_of(spark, texts)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text = texts[r.doc_id] or ""
+        *counts, joined = base_spans(text)
+        assert [r.n_assign, r.n_access, r.n_hex] == counts
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        every = [(int(a), k, int(b)) for k, a, b in (s.split(":") for s in joined.split(",") if s)]
+        every += [(a, name, b) for a, _, name, b in entropy_of(text)]
+        assert Counter(every) == Counter((int(a), k, int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s))
+
+
+def test_secrets_in_very_long_texts(spark):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(RNG.choices(letters, k=1_000_000))
+    mixed = "".join(RNG.choice(("a" * 30, "aB3", RNG.choice(letters) * 25)) + "".join(RNG.choices(letters, k=RNG.randrange(40))) for _ in range(3000))
+    many = "token=abcdef " * 100_000
+    keys = " ".join("k3jx9qz7vw2mt5rp8ynb4hdg" + str(i) for i in range(30_000))
+    began = time.monotonic()
+    got = {r.doc_id: r for r in secrets.find_secrets(docs_of(spark, [run, mixed, many, keys])).collect()}
+    assert time.monotonic() - began < 300  # many hours, were the time quadratic
+    for i, text in enumerate((run, mixed, many, keys)):
+        *counts, joined = base_spans(text)
+        assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == counts
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        want = Counter(f"{name}:{a}:{b}" for a, _, name, b in entropy_of(text))
+        assert Counter(s for s in got[i].spans.split(",") if s.startswith("entropy")) == want
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((12, 16))
@@ -439,4 +498,4 @@ def test_best_region(scores):
 
 
 def test_every_operator_has_a_query():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
