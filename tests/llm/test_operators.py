@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from html import unescape
 
 import numpy as np
 import public_tokenizers
@@ -490,6 +491,86 @@ def test_html_keeps_articles_whole(spark):
     assert got[0] == "Some words\n" + " ".join(["plain words"] * 40)
 
 
+def test_html_leaves_out_unnamed_text_around_marked_articles():
+    body = "<p>Some plain words that stand in the article.</p>"
+    page = f"<div>Welcome dear visitor of our shop and many more words</div><article>{body}</article><div>Between them</div><article>{body}</article><div>Posted by admin on some day</div>"
+    want = "Some plain words that stand in the article."
+    assert html.main_text(page, html.Weights()) == f"{want}\n{want}"
+    assert html.main_text(page, html.Weights(tags={"div": -0.01})) == f"{want}\n{want}"
+
+
+def bare(page):
+    """The page without names and without its marks."""
+    page = re.sub(r'\s(?:class|id|role)="[^"]*"', "", page)
+    return re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", page)
+
+
+def same_words(a, b):
+    a, b = Counter(a.split()), Counter(b.split())
+    return 2 * (a & b).total() / ((a.total() + b.total()) or 1) if a or b else 1
+
+
+def test_html_weights_find_articles_that_nothing_marks(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = html.learn(pages.where("page_id % 2 = 0"))
+    assert weights.word > 0 > max(weights.tags.values())
+    rest = [r.html for r in pages.where("page_id % 2 = 1").select("html").collect()]
+    pairs = [(html.main_text(bare(p), weights), html.main_text(p, weights)) for p in rest if p]
+    assert len(pairs) > 50
+    assert sum(same_words(a, b) for a, b in pairs) / len(pairs) >= 0.99
+    assert sum(a == b for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_html_of_a_table_equals_the_marked_element_without_named_parts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    cut = r'(?s)<!--.*?-->|<(script|style|form|aside|nav|footer)\b.*?</\1>|<(div|section|p) (?:class|id)="(?:ad|cookie|comments?|share|notice)[^"]*">.*?</\2>'
+    rows = pages.select("page_id", "html").collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        inner = re.sub(cut, "", re.search(r"(?s)<article\b[^>]*>(.*)</article>", r.html)[1])
+        want = " ".join(unescape(re.sub(r"</?(?:b|i|em|strong|a|span)\b[^>]*>", "", inner).replace("<", " <")).split())
+        assert " ".join(got[r.page_id].split()) == " ".join(re.sub(r"<[^>]*>", " ", want).split())
+
+
+def test_html_weights_are_log_odds_of_the_counts():
+    seen = {"word": (900, 60), "div": (0, 30), "p": (50, 5), "li": (40, 10)}
+    weights = html.weights_of(seen)
+    even = 990 / 105  # inside to outside
+
+    def want(inside, outside, usual):
+        share = even * math.exp(usual) / (even * math.exp(usual) + 1)
+        return math.log((inside + 5 * share) / (outside + 5 * (1 - share)) / even)
+
+    assert math.isclose(weights.word, want(900, 60, 1.0))
+    assert math.isclose(weights.tags["div"], want(0, 30, html.USUAL["div"]))
+    assert math.isclose(weights.tags["li"], want(40, 10, html.USUAL["li"]))
+    assert want(50, 1, -0.05) > 0 and html.weights_of(seen | {"p": (50, 1)}).tags["p"] == html.MOST_TAG
+    assert math.isclose(weights.tags["td"], html.USUAL["td"]) and math.isclose(weights.link_word, -0.5)
+
+
+HOSTILE = {
+    "tags that never end": "<a " * 200_000,
+    "an end in quotes only": "<a " * 200_000 + 'b=">"',
+    "stray ends": "<span class=x>" + "<div>" * 60_000 + "</span>" * 60_000,
+    "items in depth": "<div>" * 60_000 + "<li></li>" * 40_000,
+    "script ends that never end": "<script>" + "</script " * 100_000,
+    "declarations": "<!" * 300_000,
+    "comments": "<!--" * 200_000,
+    "quotes": "<a b=\"'" * 100_000 + ">",
+    "apostrophes": "<a b='>" * 100_000,
+    "a long name": "<" + "a" * 1_000_000,
+    "brackets": "<" * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("what", HOSTILE)
+def test_html_of_hostile_pages_takes_seconds(what):
+    began = time.monotonic()
+    html.main_text(HOSTILE[what], html.Weights())
+    assert time.monotonic() - began < 20
+
+
 @given(st.lists(st.integers(-5, 5), max_size=30))
 def test_best_region(scores):
     start, end = html.best_region(scores)

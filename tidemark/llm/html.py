@@ -5,9 +5,13 @@ how much is learnt from labelled pages, that is pages which mark their article b
 ``<main>`` themselves, as log odds of a token to stand inside it.  One linear scan finds the
 contiguous region with the largest sum.  Text in elements that by name or class are no content
 (menus, headers, notices, adverts, forms, comments ...) is left out.  It scores 0 with its tags, so
-that it does not cut what stands around it; only before the first and after the last marked article
-of a page it scores negative.  In a marked article tags score 0 too, and links as other words, so
-an article is kept whole.
+that it does not cut what stands around it.  On a page that marks its article, tags inside it score
+0 and links as other words, so it is kept whole; words outside it score negative before the first
+and after the last marked text, and are left out between them.
+
+Weights are for pages that mark nothing, so they are learnt as such pages are read: classes, ids
+and roles are not looked at, and an advert in a plain ``div`` counts as text outside the article.
+Parsing and scan take time linear in the length of a page, whatever its markup.
 
 Labelled pages are a bounded sample (``max_labelled``, by hash of the page id); what the driver
 gets is one count per known tag.  Extraction is one scan without a shuffle.
@@ -18,8 +22,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -62,8 +66,9 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split()
 )
 TAG = re.compile(
-    r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|(?<==)"[^"]*"|(?<==)'[^']*'|["'])*+)>|<!--|<[!?/][^>]*>"""
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|(?<==)"[^"]*"|(?<==)'[^']*'|["'])*+)>|<!--|<[!?/][^>]*>"""
 )
+UNQUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<!--|<[!?/][^>]*>")
 ATTRIBUTE = re.compile(
     r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 )
@@ -93,12 +98,39 @@ class Token:
     article: bool = False
 
 
-def _no_content(name: str, attributes: str, in_article: bool) -> bool:
+class OpenElements:
+    """The elements that stand open, found by name without a search."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, bool, bool, bool]] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def last(self, names: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, name: str, *within: bool) -> None:
+        self.places[name].append(len(self.items))
+        if name not in INLINE:
+            self.blocks.append(len(self.items))
+        self.items.append((name, *within))
+
+    def close(self, place: int) -> None:
+        """Close the element at the place and all inside it."""
+        while len(self.items) > place:
+            name = self.items.pop()[0]
+            self.places[name].pop()
+            if name not in INLINE:
+                self.blocks.pop()
+
+
+def _no_content(name: str, attributes: str, in_article: bool, names: bool) -> bool:
     if name in NO_CONTENT:
         return True
     if name == "header":
         return not in_article
-    if not attributes or name in ARTICLE or name in ("html", "body"):
+    if not names or not attributes or name in ARTICLE or name in ("html", "body"):
         return False
     for found in ATTRIBUTE.finditer(attributes):
         key, value = found[1].lower(), (found[2] or "").strip("\"'")
@@ -111,18 +143,48 @@ def _no_content(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def tokens(page: str) -> Iterator[Token]:
+def _next_tag(page: str) -> Callable[[int], re.Match | None]:
+    """A search for the next tag that reads no part of the page again and again.
+
+    A tag that never ends is text.  After the first that runs to the page's end only because of its
+    quotes, quotes are no longer looked at.
+    """
+    last = page.rfind(">")
+    comment = re.compile("<!--")
+    tag = TAG
+
+    def search(at: int) -> re.Match | None:
+        nonlocal tag
+        while at <= last:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            found = tag.match(page, start)
+            if found is None and page[start + 1 : start + 3].lstrip("/")[:1].isalpha():
+                tag = UNQUOTED
+                found = tag.match(page, start)
+            if found is not None:
+                return found
+            at = start + 1
+        return comment.search(page, at)
+
+    return search
+
+
+def tokens(page: str, names: bool = True) -> Iterator[Token]:
     """Tags and texts of a page in order, with what they stand in.
 
     Comments, declarations, and scripts, styles and other elements whose content is no text are
     left out; one that is not closed ends with the page.  Elements left open end with the page or
-    with what encloses them, as browsers do; stray closing tags do nothing.
+    with what encloses them, as browsers do; stray closing tags do nothing.  Without ``names`` it is
+    read as if no element had a class, an id or a role.
     """
-    stack: list[tuple[str, bool, bool, bool]] = []
-    at, size = 0, len(page)
+    still = OpenElements()
+    at, size, last = 0, len(page), page.rfind(">")
+    next_tag = _next_tag(page)
     no_content = link = article = False
     while at < size:
-        found = TAG.search(page, at)
+        found = next_tag(at)
         if found is None:
             yield Token(text=page[at:], no_content=no_content, link=link, article=article)
             return
@@ -139,42 +201,43 @@ def tokens(page: str) -> Iterator[Token]:
         name, closing, own = found[2].lower(), bool(found[1]), None
         if name in RAW and not closing:
             if not found[3].endswith("/") or name not in ("svg", "object", "iframe"):
-                end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
+                # No closing tag ends behind the last ">".
+                end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at, last + 1)
                 at = size if end is None else end.end()
             continue
         if closing:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None and name in INLINE:
-                # A link ends at its block's end; it does not end blocks.
-                if any(other not in INLINE for other, *_ in stack[depth:]):
-                    depth = None
-            if depth is not None:
-                own = stack[depth][1:]
-                del stack[depth:]
-        else:
-            if name in CLOSED_BY:
-                ends, within = CLOSED_BY[name]
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in within:
-                        break
-                    if stack[k][0] in ends.split():
-                        del stack[k:]
-            elif name not in INLINE and stack and stack[-1][0] == "a":
-                pass
-        no_content, link, article = stack[-1][1:] if stack else (False, False, False)
+            place = still.last((name,))
+            # A link ends at its block's end; it does not end blocks.
+            if place >= 0 and not (name in INLINE and still.blocks and still.blocks[-1] > place):
+                own = still.items[place][1:]
+                still.close(place)
+        elif name in CLOSED_BY:
+            ends, within = CLOSED_BY[name]
+            border = still.last(within)
+            while (place := still.last(ends.split())) > border:
+                still.close(place)
+        no_content, link, article = still.items[-1][1:] if still.items else (False, False, False)
         if not closing and name not in VOID and (name not in INLINE or name == "a" or "class" in found[3]):
             if name != "p":  # paragraphs hold no blocks and are mostly left open
                 inner = (
-                    no_content or _no_content(name, found[3], article),
+                    no_content or _no_content(name, found[3], article, names),
                     link or name == "a",
                     article or name in ARTICLE,
                 )
-                stack.append((name, *inner))
+                still.push(name, *inner)
                 no_content, link, article = inner
         within = own or (no_content, link, article)
         yield Token(tag=name, closing=closing, no_content=within[0], link=within[1], article=within[2])
 
 
+def _marked(found: list[Token]) -> list[int]:
+    """Places of the texts in a marked article."""
+    return [
+        at for at, t in enumerate(found)
+        if t.article and not t.no_content and t.text and not t.text.isspace()
+    ]
+
+
 def _score(token: Token, weights: Weights) -> float:
     if token.tag:
         in_article = token.article and not token.no_content
@@ -187,15 +250,17 @@ def _score(token: Token, weights: Weights) -> float:
 
 def scores(found: list[Token], weights: Weights) -> list[float]:
     """Scores of a page's tokens."""
-    marked = [
-        at for at, t in enumerate(found)
-        if t.article and not t.no_content and t.text and not t.text.isspace()
-    ]
-    first, last = (marked[0], marked[-1]) if marked else (0, len(found))
-    return [
-        0.0 if t.no_content and first <= at <= last else _score(t, weights)
-        for at, t in enumerate(found)
-    ]
+    marked = _marked(found)
+    if not marked:
+        return [0.0 if t.no_content else _score(t, weights) for t in found]
+
+    def score(at: int, t: Token) -> float:
+        if t.article and not t.no_content:
+            return _score(t, weights)
+        between = marked[0] <= at <= marked[-1]
+        return 0.0 if between else -abs(_score(t, weights))
+
+    return [score(at, t) for at, t in enumerate(found)]
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -215,6 +280,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, one a line, each with its white space made single blanks."""
     found = list(tokens(page or ""))
     start, end = best_region(scores(found, weights))
+    strict = bool(_marked(found))
     blocks: list[str] = []
     parts: list[str] = []
     for token in [*found[start:end], Token(tag="p")]:
@@ -225,7 +291,7 @@ def main_text(page: str | None, weights: Weights) -> str:
             if block:
                 blocks.append(block)
             parts = []
-        elif token.text and not token.no_content:
+        elif token.text and not token.no_content and (token.article or not strict):
             parts.append(token.text)
     return "\n".join(blocks)
 
@@ -235,12 +301,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     outside: Counter = Counter()
     for batch in batches:
         for page in batch.column("html").to_pylist():
-            for token in tokens(page):
-                side = inside if token.article and not token.no_content else outside
-                if not token.tag:
-                    side["link_word" if token.link else "word"] += len(token.text.split())
-                elif token.tag in KNOWN_TAGS and not token.no_content:
-                    side[token.tag] += 1
+            for side, name, n in evidence(page):
+                (inside if side else outside)[name] += n
     names = sorted(inside | outside)
     yield pa.RecordBatch.from_pydict(
         {"token": pa.array(names, pa.string()),
@@ -249,11 +311,32 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def evidence(page: str) -> Iterator[tuple[bool, str, int]]:
+    """Words and tags of a page that marks its article: if inside of it, which, and how many.
+
+    What stands in elements that are no content by their tag is not counted, as the scan gives it no
+    score either.  A tag outside counts if plain words stand next to it: around links the words of
+    the links say enough, and the same tags stand around lists in articles.
+    """
+    found = [t for t in tokens(page, names=False) if t.tag or not t.text.isspace()]
+    named = [t for t in tokens(page) if t.tag or not t.text.isspace()]
+    plain = [bool(t.text) and not t.link and not t.no_content for t in found]
+    for at, (bare, full) in enumerate(zip(found, named)):
+        if bare.no_content:
+            continue
+        side = full.article and not full.no_content
+        if not bare.tag:
+            yield side, "link_word" if bare.link else "word", len(html.unescape(bare.text).split())
+        elif bare.tag in KNOWN_TAGS and (side or any(plain[max(0, at - 1) : at + 2])):
+            yield side, bare.tag, 1
+
+
 KNOWN_TAGS = INLINE | NO_CONTENT | frozenset(
     "p div section header h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "blockquote pre figure figcaption address details summary hr center body html".split()
 )
-TAG_BOUNDS = (-4.0, -0.01)
+# Words score above zero and tags below; no other bounds.
+LEAST_WORD, MOST_TAG = 0.01, -0.01
 # What unlabelled corpora start from, as pseudo-counts inside and outside of articles.
 PRIOR = 5.0
 USUAL = {"li": -1.5, "ul": -1.0, "a": -1.0, "div": -0.5, "td": -0.5, "tr": -0.5, "table": -0.5}
@@ -274,30 +357,31 @@ def learn(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Weights:
         .groupBy("token").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
         .collect()  # one row per known tag
     )
-    seen = {r.token: (r.inside, r.outside) for r in counts}
-    words = ("word", "link_word")
-    of_words = [seen.get(x, (0, 0)) for x in words]
-    of_tags = [n for x, n in seen.items() if x not in words]
+    return weights_of({r.token: (r.inside, r.outside) for r in counts})
+
+
+def weights_of(seen: dict[str, tuple[int, int]]) -> Weights:
+    """Log odds of the tokens, from how often each stood inside and outside of articles.
+
+    A token starts with ``PRIOR`` pseudo-counts that say what is usual, so one that no page holds
+    has its usual weight and one that pages hold often has theirs.
+    """
+    n_in, n_out = (max(1, sum(n[side] for n in seen.values())) for side in (0, 1))
 
-    def odds(token: str, usual: float, among: list[tuple[int, int]]) -> float:
+    def odds(token: str, usual: float) -> float:
         i, o = seen.get(token, (0, 0))
-        share_in = (i + PRIOR * math.exp(usual)) / (sum(n for n, _ in among) + 1)
-        share_out = (o + PRIOR) / (sum(n for _, n in among) + 1)
-        return math.log(share_in / share_out)
-
-    def tag_odds(tag: str) -> float:
-        # What no marked article holds may stand in an unmarked one all the same.
-        usual = USUAL.get(tag, -0.05)
-        return odds(tag, usual, of_tags) if seen.get(tag, (0, 0))[0] else usual
-
-    low, high = TAG_BOUNDS
-    tags = {t: min(high, max(low, tag_odds(t))) for t in sorted(KNOWN_TAGS)}
-    every = of_words + of_tags
-    given = {x for x in words if sum(seen.get(x, (0, 0)))}
+        # The pseudo-counts stand in the same proportion as the two sides.
+        total = i + o + PRIOR
+        even_in, even_out = n_in / (n_in + n_out), n_out / (n_in + n_out)
+        share = even_in * math.exp(usual) / (even_in * math.exp(usual) + even_out)
+        inside, outside = i + PRIOR * share, o + PRIOR * (1 - share)
+        return math.log(inside / total / even_in) - math.log(outside / total / even_out)
+
+    usual = Weights()
     return Weights(
-        word=max(0.5, min(2.0, odds("word", 1.0, every) if "word" in given else 1.0)),
-        link_word=max(-2.0, min(-0.1, odds("link_word", -0.5, every) if "link_word" in given else -0.5)),
-        tags=tags,
+        word=max(LEAST_WORD, odds("word", usual.word)),
+        link_word=odds("link_word", usual.link_word),
+        tags={t: min(MOST_TAG, odds(t, USUAL.get(t, -0.05))) for t in sorted(KNOWN_TAGS)},
     )
 
 
