@@ -297,6 +297,26 @@ def test_mixing_of_a_rare_source_with_a_large_share(spark):
         assert abs(counts["big"][0] - 400) < 80
 
 
+def test_mixing_of_more_sources_than_a_broadcast_holds(spark, plan_of):
+    rows = [(i, f"text {i}", "en", None if i % 100 == 99 else "hot" if i % 10 else f"rare{i}", 6) for i in range(20_000)]
+    docs = spark.createDataFrame(rows + [(None, "no id", "en", "rare0", 5), (7, None, None, "hot", None)], DOCS)
+    want = mixing.copies_of(docs).collect()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(mixing, "BROADCAST_BYTES", 0)
+        out = mixing.copies_of(docs)
+        got = out.collect()
+        assert mixing.copies_of(docs.where("false")).count() == 0
+    assert Counter(map(str, got)) == Counter(map(str, want)) and len(got) > 10_000
+    plan = plan_of(out)
+    assert plan.count("BroadcastHashJoin") >= 2 and "salt" in plan  # hot sources stay where they are
+
+
+def test_columns_of_any_name_pass_exact_dedup(spark):
+    docs = spark.createDataFrame([(1, "a b", 1), (2, "ab", 2), (3, "c", 3)], "doc_id long, text string, `a.b` int")
+    left = exact_dedup.without_exact_duplicates(docs)
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == [(1, "a b", 1), (3, "c", 3)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="<[\\|/s>INST]SY a\n퟿", max_size=30))
 def test_escape_round_trip(text):

@@ -41,22 +41,22 @@ def test_stages_equal_plain_python(spark, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
 
-    clean = stages["toxicity"](spark, docs, folder).localCheckpoint()
+    clean = stages["toxicity"](spark, docs, folder).checkpoint()
     assert {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - bad and clean.columns == docs.columns
 
-    once = stages["exact_dedup"](spark, clean, folder).localCheckpoint()
+    once = stages["exact_dedup"](spark, clean, folder).checkpoint()
     plain = lambda t: re.sub("[\x20\x09-\x0d]", "", t or "")
     got = once.collect()
     assert once.columns == docs.columns
     assert Counter(plain(r.text) for r in got) == Counter({plain(r.text) for r in clean.collect()})
 
-    apart = stages["jaccard_join"](spark, once, folder).localCheckpoint()
+    apart = stages["jaccard_join"](spark, once, folder).checkpoint()
     parts = near_components([(r.doc_id, r.text) for r in got], 5, 80, 100)
     kept = apart.collect()
     assert Counter(parts[r.doc_id][1] for r in kept) == Counter({c for _, c in parts.values()})
     assert apart.columns == docs.columns and len(kept) < len(got)
 
-    mixed = stages["mixing"](spark, apart, folder).localCheckpoint()
+    mixed = stages["mixing"](spark, apart, folder).checkpoint()
     sizes = Counter(r.source for r in kept)
     weights = {x: math.sqrt(n) for x, n in sizes.items()}
     mean = {x: weights[x] / sum(weights.values()) * len(kept) / n for x, n in sizes.items()}

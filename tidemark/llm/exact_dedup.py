@@ -46,7 +46,7 @@ def _identities(
         F.col("doc_id").cast("long").alias("_doc_id"),
         F.length(plain_text()).cast("long").alias("_points"),
         squeezed("text").alias("_squeezed"),
-        *([F.struct(*docs.columns).alias("_row")] if keep_columns else []),
+        *([F.struct("*").alias("_row")] if keep_columns else []),
     )
     keys = ["_length", "_first", "_last"]
     ends = [

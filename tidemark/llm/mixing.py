@@ -9,8 +9,9 @@ large mean would start below the smallest double.  The copies are dealt over all
 sorted by it within them, which is a shuffle of the whole corpus.
 
 Sizes of sources come from one aggregate with partial sums.  The table of means has a row per
-source; it is broadcast only if its names and arrays were added up to be within
-``BROADCAST_BYTES``, else the means are joined by a shuffle of ids.  No step groups documents by source, so a source with a
+source; it is broadcast if its names and arrays were added up to be within ``BROADCAST_BYTES``.
+Else only the sources with more than a ``HOT_SHARE``-th of all documents are, fewer than so many
+rows; documents of the others are shuffled to their source, salted by their id.  So a source with a
 third of all rows loads no single task.
 """
 
@@ -23,6 +24,8 @@ from tidemark.llm.common import Scratch
 
 BROADCAST_BYTES = 8 << 20
 ROW_BYTES = 64  # of a row besides its name and array
+HOT_SHARE = 1000
+SALTS = 16
 PART_MEAN = 500.0  # exp(-mean) is exact to the last digits up to 708
 UNIT = 2.0**-52
 
@@ -93,6 +96,24 @@ def means(
     )
 
 
+def _with_means(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``row`` with the columns of its source in the staged table of means."""
+    same = F.col("row.source").eqNullSafe(F.col("source"))
+    name = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0))
+    held = (ROW_BYTES + name + 8 * F.size("sums")).cast("long")
+    sizes = table.agg(F.sum(held).alias("held"), F.sum("n_docs").alias("docs")).first()
+    if (sizes.held or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), same)
+    is_hot = F.col("n_docs") * HOT_SHARE > sizes.docs
+    hot = table.where(is_hot)
+    others = table.where(~is_hot).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rest = rows.join(F.broadcast(hot.select("source")), same, "left_anti")
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("row.doc_id"), F.lit(SALTS)).cast("int"))
+    return rows.join(F.broadcast(hot), same).unionByName(
+        rest.join(others, same & (F.col("own") == F.col("salt"))).drop("own", "salt")
+    )
+
+
 def copies_of(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -112,21 +133,16 @@ def copies_of(
     scratch = Scratch(docs.sparkSession, "mix")
     table = means(docs, weights, temperature, total)
     table = scratch.stage(
-        table.select("source", _parts(F.col("mean")).alias("parts"), "mean").select(
-            "source", "parts", _distribution(F.col("mean") / F.col("parts")).alias("sums")
+        table.select("source", "n_docs", _parts(F.col("mean")).alias("parts"), "mean").select(
+            "source", "n_docs", "parts", _distribution(F.col("mean") / F.col("parts")).alias("sums")
         ),
         "means",
     )
     rows = docs.select(F.struct("*").alias("row"))
-    same = F.col("row.source").eqNullSafe(F.col("source"))
-    name = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0))
-    held = table.agg(F.sum((ROW_BYTES + name + 8 * F.size("sums")).cast("long"))).first()[0] or 0
-    if held <= BROADCAST_BYTES:
-        table = F.broadcast(table)
     doc_id = F.col("row.doc_id")
     times = _draw(F.col("sums"), F.col("parts"), seed, doc_id)
     copies = F.when(times > 0, F.sequence(F.lit(0), times - 1))
-    rows = rows.join(table, same).select("row", F.explode(copies).alias("copy"))
+    rows = _with_means(rows, table).select("row", F.explode(copies).alias("copy"))
     rows = rows.withColumn("order", _uniform(f"{seed} order", doc_id, F.col("copy")))
     return rows.repartition("order").sortWithinPartitions("order")
 
