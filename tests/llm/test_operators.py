@@ -11,6 +11,7 @@ from html import unescape
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -339,6 +340,29 @@ def test_chats(spark):
     assert chat.read_back(chat.format_chats(frame.where("false"), *RANKS), *RANKS).count() == 0
 
 
+TURNS = st.lists(st.tuples(st.sampled_from([None, 0, 1, 2]), st.integers(0, 3), st.integers(0, 3), st.booleans()), max_size=12)
+
+
+@given(TURNS, st.integers(1, 5))
+def test_masks_and_places_by_prefix_sums(turns, rows):
+    """Against a loop over the turns, whatever batches they come in."""
+    turns.sort(key=lambda t: (t[0] is not None, t[0] or 0))
+    table = pa.table({
+        "conv_id": pa.array([c for c, *_ in turns], pa.int64()), "turn": pa.array(range(len(turns)), pa.int64()),
+        "learnt": pa.array([t[3] for t in turns], pa.bool_()), "head": pa.array([2 + t[1] for t in turns], pa.int32()),
+        "ids": pa.array([[7] * (3 + t[1] + t[2]) for t in turns], pa.list_(pa.int32())),
+    })
+    got = [r for b in chat._assemble(iter(table.to_batches(max_chunksize=rows))) for r in b.to_pylist()]
+    want, before = [], {}
+    for conv, role, text, learnt in turns:
+        number, place = before.get(conv, (0, 0))
+        size = 3 + role + text
+        mask = [False] * (2 + role) + [learnt] * text + [False]
+        want.append({"conv_id": conv, "turn_no": number, "offset": place, "ids": [7] * size, "loss_mask": mask})
+        before[conv] = number + 1, place + size
+    assert got == want
+
+
 def test_packing(spark):
     texts = [*EDGE, "İstanbul don't x<|endoftext|>y é q 3.14 a1b2 ***", *["some words " * n for n in range(1, 60)]]
     path = public_tokenizers.path("word_bpe_49k.json")

@@ -6,8 +6,9 @@ produce them.  In the rendered form the marks are strings, and what looks like o
 is escaped by one more backslash, which reading back takes away.
 
 A shuffle brings the turns of a conversation together in order.  Conversations are then streamed:
-places of segments are running sums of their lengths, the loss mask is given by these, and a
-conversation of any length needs memory for one turn at a time.  Each row is one turn of the
+places of segments are running sums of their lengths, and the loss mask is the running sum over the
+ids of a batch of a step up where a learnt segment begins and a step down where it ends.  A
+conversation of any length needs memory for one batch at a time.  Each row is one turn of the
 output, with its place in the conversation's sequence.
 """
 
@@ -97,25 +98,39 @@ def _encode(path: str, pattern: str):
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places within the conversation, as running sums over its turns; rows come in order."""
-    conversation, place, number = object(), 0, 0
+    """Places within the conversation and the loss mask by prefix sums; rows come in order."""
+    last, place, number = None, 0, 0
     for batch in batches:
-        places, numbers, masks = [], [], []
-        rows = zip(*(batch.column(c).to_pylist() for c in ("conv_id", "learnt", "head")),
-                   batch.column("ids").value_lengths().to_pylist())
-        for conv_id, learnt, head, size in rows:
-            if conv_id != conversation:
-                conversation, place, number = conv_id, 0, 0
-            places.append(place)
-            numbers.append(number)
-            mask = np.zeros(size, bool)
-            mask[head : size - 1] = learnt
-            masks.append(mask)
-            place, number = place + size, number + 1
+        if not batch.num_rows:
+            continue
+        sizes = batch.column("ids").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = batch.column("head").to_numpy(zero_copy_only=False)
+        learnt = batch.column("learnt").to_numpy(zero_copy_only=False).astype(bool)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+
+        steps = np.zeros(ends[-1], np.int8)
+        np.add.at(steps, (starts + heads)[learnt], 1)
+        np.add.at(steps, (ends - 1)[learnt], -1)  # the mark that ends a turn is not learnt
+        mask = np.cumsum(steps, dtype=np.int8) > 0
+
+        ids = batch.column("conv_id")
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        keys = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (known[1:] != known[:-1])
+        new[0] = (keys[0], known[0]) != last
+        row = np.arange(len(keys))
+        first = np.maximum.accumulate(np.where(new, row, -1))
+        goes_on = first < 0  # turns of the conversation that the batch before ended with
+        places = np.where(goes_on, place + starts, starts - starts[first])
+        numbers = np.where(goes_on, number + row, row - first)
+        last, place, number = (keys[-1], known[-1]), places[-1] + sizes[-1], numbers[-1] + 1
+        bounds = pa.array(np.concatenate([[0], ends]), pa.int32())
         yield pa.RecordBatch.from_pydict(
-            {"conv_id": batch.column("conv_id"), "turn_no": pa.array(numbers, pa.int64()),
+            {"conv_id": ids, "turn_no": pa.array(numbers, pa.int64()),
              "offset": pa.array(places, pa.int64()), "ids": batch.column("ids"),
-             "loss_mask": pa.array(masks, pa.list_(pa.bool_()))}
+             "loss_mask": pa.ListArray.from_arrays(bounds, pa.array(mask))}
         )
 
 
