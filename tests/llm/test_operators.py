@@ -493,6 +493,45 @@ def test_toxicity(spark):
     assert toxicity.toxicity(docs.where("false"), labels).count() == 0
 
 
+def plain_ftrl(rows, settings):
+    """FTRL-proximal, one coordinate after the other; the feature None is the bias, without L1."""
+    z, n = defaultdict(float), defaultdict(float)
+    positive = sum(label for _, label in rows)
+    prior = math.log((positive + 1) / (len(rows) - positive + 10))
+
+    def weight(f):
+        l1 = settings.l1 if f is not None else 0.0
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((settings.beta + math.sqrt(n[f])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for features, label in rows:
+            of = {f: weight(f) for f in [*features, None]}
+            gradient = 1 / (1 + math.exp(-(sum(of.values()) + prior))) - label
+            for f, w in of.items():
+                sigma = (math.sqrt(n[f] + gradient**2) - math.sqrt(n[f])) / settings.alpha
+                z[f] += gradient - sigma * w
+                n[f] += gradient**2
+    found = {f: weight(f) for f in list(z) if f is not None}
+    return {f: w for f, w in found.items() if w}, weight(None) + prior
+
+
+@pytest.mark.parametrize("settings", [toxicity.Settings(), toxicity.Settings(alpha=0.5, l1=0.3, l2=1.0, epochs=2)])
+def test_weights_equal_plain_ftrl(settings):
+    rng = random.Random(11)
+    rows = [(sorted({rng.randrange(60) if y else rng.randrange(20, 200) for _ in range(rng.randrange(12))}), y)
+            for y in (int(rng.random() < 0.3) for _ in range(400))]
+    batch = pa.RecordBatch.from_pydict({
+        "features": pa.array([f for f, _ in rows], pa.list_(pa.int32())), "toxic": pa.array([y for _, y in rows], pa.int32())})
+    (got,) = toxicity._fit(settings)(iter([batch.slice(0, 150), batch.slice(150)]))
+    got = dict(zip(got["feature"].to_pylist(), got["weight"].to_pylist()))
+    want, bias = plain_ftrl(rows, settings)
+    assert math.isclose(got.pop(toxicity.BIAS), bias, rel_tol=1e-9)
+    assert got.keys() == want.keys() and 0 < len(want) < 200
+    assert all(math.isclose(got[f], w, rel_tol=1e-7, abs_tol=1e-10) for f, w in want.items())
+
+
 PAGE = """<!doctype html><html><head><title>t</title><script>var a = "<p>no</p>";</script></head><body>
 <header><a href="/">Home</a></header><nav><ul><li><a>Menu <b>x</b></a></ul></nav><div class="cookie-notice">We use it</div>
 <article><header><h1>Head &amp; tail</h1></header><p>First   para<b>graph</b> of words<br>that go on and on.
