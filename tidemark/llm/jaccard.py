@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.common import Scratch, plain_text, ship, slices
+from tidemark.llm.common import Scratch, plain_text, ship, slices, small_batches
 from tidemark.llm.components import components
 
 COUNTER_BITS = 20
@@ -185,6 +185,7 @@ class _Join:
 
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.spark = docs.sparkSession
+        small_batches(self.spark)
         self.scratch = Scratch(self.spark, "jaccard")
         self.n, self.num, self.den = n, num, den
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))

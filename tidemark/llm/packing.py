@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices
+from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices, small_batches
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
@@ -273,6 +273,7 @@ def pack(
     are not read.  ``cache_words`` bounds the words that a task remembers, some 200 bytes each: fewer
     cost time and change no result.
     """
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "pack")
     schema = PIECES + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_text().alias("text"))

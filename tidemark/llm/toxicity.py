@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices
+from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices, small_batches
 
 FEATURE_BITS = 20
 MAX_LABELLED = 12_000
@@ -135,6 +135,7 @@ def train(
     keeps its bound whatever repeats.  With no usable label the model has only a
     bias, by which every text is clean.
     """
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxicity")
     order = F.xxhash64("doc_id").alias("order")
     chosen = (
@@ -162,6 +163,7 @@ def train(
 
 def score(model: Model, docs: DataFrame, text: str = "text") -> Column:
     """Probability that a text is toxic; null and empty texts get that of the bias alone."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.indices, model.weights, model.bias))
 
     @F.pandas_udf("double")
