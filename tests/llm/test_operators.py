@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from html import unescape
@@ -21,8 +22,10 @@ from tokenizers import Tokenizer
 from tests.llm.brute import near_components, roots
 from tidemark.llm import (
     chat,
+    common,
     embeddings,
     exact_dedup,
+    hashing,
     html,
     jaccard,
     mixing,
@@ -663,3 +666,54 @@ def test_best_region(scores):
 
 def test_every_operator_has_a_query():
     assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
+
+
+def _plain_word_hashes(texts, table):
+    """Hashes by Python's integers, word by word."""
+    hashes, counts = [], []
+    for text in texts:
+        words = "".join(chr(int(table[byte])) for byte in text).split("\0")
+        words = [word for word in words if word]
+        counts.append(len(words))
+        for word in words:
+            total = 0
+            for place, code in enumerate(map(ord, word)):
+                spread = int(hashing.mixed(np.array([code], "u8") * hashing.ODD[2])[0])
+                total += spread * pow(int(hashing.ODD[1]), place, 1 << 64)
+            whole = np.array([(total + len(word)) % (1 << 64)], "u8")
+            hashes.append(int(hashing.mixed(whole)[0]))
+    return hashes, counts
+
+
+@pytest.mark.parametrize("block", [1, 3, 16, 1 << 18])
+def test_words_across_blocks_are_hashed_whole(block):
+    texts = [b"", b"ab a", b"  \tabcdefghij klm", b"x" * 40, b"Ab\xc3\xa9 ab", b" ", b"end"]
+    for separators in (hashing.SPACES, hashing.SYMBOLS):
+        table = hashing.byte_table(separators)
+        hashes, counts = hashing.word_hashes(texts, table, block)
+        assert (hashes.tolist(), counts.tolist()) == _plain_word_hashes(texts, table)
+    assert [len(x) for x in hashing.word_hashes([], table, block)] == [0, 0]
+
+
+def test_hashing_a_long_text_holds_little_besides_it():
+    text = b"some words of a long text " * 400_000
+    tracemalloc.start()
+    hashing.word_hashes([text], hashing.byte_table(hashing.SPACES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(text)
+
+
+def test_a_batch_size_that_the_user_chose_stays(spark):
+    before = spark.conf.get(common.ROWS_PER_BATCH, None)
+    try:
+        spark.conf.unset(common.ROWS_PER_BATCH)
+        common.small_batches(spark)
+        assert spark.conf.get(common.ROWS_PER_BATCH) == str(common.BATCH_ROWS)
+        spark.conf.set(common.ROWS_PER_BATCH, "77")
+        common.small_batches(spark)
+        assert spark.conf.get(common.ROWS_PER_BATCH) == "77"
+    finally:
+        spark.conf.unset(common.ROWS_PER_BATCH)
+        if before is not None:
+            spark.conf.set(common.ROWS_PER_BATCH, before)
