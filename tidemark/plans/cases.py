@@ -18,7 +18,7 @@ from tidemark.functions import (
     truncate_chars,
     uuid5,
 )
-from tidemark.operators import batches, extract, ledger, load, quality, rollback, transform
+from tidemark.operators import batches, differences, extract, ledger, load, quality, rollback, transform
 from tidemark.plans.jobs import Migration, Source
 from tidemark.plans.spec import PATIENT_NAMESPACE, Copy, Merge, TransformSpec, register
 from tidemark.session import scratch_path
@@ -411,6 +411,15 @@ def validate_counts(spark, sf_dir):
     return quality.reconcile(moved.agg(F.count("id").alias("source_count")), totals)
 
 
+def reconcile_rows(spark, sf_dir):
+    """Orders against a copy in which some are missing, some cost more and some have another key."""
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    dearer = F.col("o_totalprice") + F.when(key % 1009 == 5, 1.0).otherwise(0.0)
+    copied = orders.where(key % 997 != 3).withColumn("o_totalprice", dearer)
+    moved = orders.where(key % 1013 == 7).withColumn("o_orderkey", -key - 1)
+    return differences.row_differences(orders, copied.unionAll(moved), "o_orderkey")
+
+
 def key_duplicates(spark, sf_dir):
     return quality.duplicates(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
@@ -722,6 +731,7 @@ CASES = {
         rollback_remaining,
         rollback_deleted_count,
         validate_counts,
+        reconcile_rows,
         key_duplicates,
         active_duplicates,
         constraint_violations,

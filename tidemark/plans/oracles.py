@@ -248,6 +248,17 @@ ORACLES = {
         SELECT source_count, target_count, source_count - target_count AS missing,
                source_count = target_count AS is_consistent, rejected
         FROM counts""",
+    "reconcile_rows": """
+        WITH target AS (
+          SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 1009 = 5 THEN 1.0 ELSE 0.0 END AS o_totalprice
+          FROM orders WHERE o_orderkey % 997 <> 3
+          UNION ALL
+          SELECT -o_orderkey - 1, o_totalprice FROM orders WHERE o_orderkey % 1013 = 7)
+        SELECT coalesce(s.o_orderkey, t.o_orderkey) AS row_key,
+               CASE WHEN t.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra'
+                    ELSE 'changed' END AS difference
+        FROM orders s FULL JOIN target t ON s.o_orderkey = t.o_orderkey
+        WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR s.o_totalprice <> t.o_totalprice""",
     "key_duplicates": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
