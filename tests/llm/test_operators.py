@@ -404,6 +404,53 @@ def test_words_in_parts_have_the_ids_of_the_whole(cache_words):
         assert np.frombuffer(parts.encode(text), "<u4").tolist() == ids, text
 
 
+class _Counting(dict):
+    """Counts reads of single words."""
+
+    reads = 0
+
+    def get(self, *args):
+        self.reads += 1
+        return super().get(*args)
+
+    def __getitem__(self, word):
+        self.reads += 1
+        return super().__getitem__(word)
+
+
+def test_words_are_looked_up_once_and_latin_ones_go_straight_to_the_model():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, parts = Tokenizer.from_file(path), packing.WordEncoder(path)
+    text = "Élan über,  Straße ñandú!! été, " * 500
+    want = whole.encode(text, add_special_tokens=False).ids
+    parts.ids, parts.tokenizer = _Counting(parts.ids), None
+    assert np.frombuffer(parts.encode(text), "<u4").tolist() == want
+    assert parts.ids.reads < 100
+
+
+def test_latin_letters_have_the_ids_of_the_whole():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, parts = Tokenizer.from_file(path), packing.WordEncoder(path)
+    for text in [f"{a}{chr(n)}{b}" for n in range(0xA0, 0x250) for a in ("", "x", "É") for b in ("", "e,", "\u0301", "'s", "<|")]:
+        assert np.frombuffer(parts.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("block", [1, 300, 1 << 20])
+def test_blocks_of_texts_change_no_piece(monkeypatch, block):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["", " lead and trail ", "été " * 100, "", "x<|endoftext|>Y Z", *(f"some words {n} " * n for n in range(40)), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(packing, "BLOCK_BYTES", block)
+    plain, want = Tokenizer.from_file(path), []
+    for i, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 16)):
+            part = ids[start : start + 16]
+            want.append((i, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes()), part))
+    got = packing._pieces(path, 16, True, 100)(iter([batch, batch.slice(0, 0)]))
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+
+
 def test_packed_rows_hold_ids(spark):
     from corpus_pipeline import pack_sequences
 

@@ -10,11 +10,14 @@ sequences, of which at most the last few stay unfilled, so dealing costs next to
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,9 +27,12 @@ from tidemark.llm.common import Scratch, give_back, plain_text, ship, slices, sm
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 50_000
 CACHE_WORDS = 600_000  # about 120 MB, and as much again once a second generation begins
+BLOCK_BYTES = 4 << 20  # texts whose words are numbered at once
 # ASCII characters that are neither letters nor digits; the apostrophe begins parts of its own.
 SYMBOLS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 SYMBOL_BYTES = SYMBOLS.encode()
+# Each is one code point in lower case too, and none joins another under NFC.
+LATIN_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 ASCII_PARTS = re.compile("[a-zA-Z]+|[0-9]|[^a-zA-Z0-9]+")
 WORD_END = "</w>"
 
@@ -37,11 +43,13 @@ class WordEncoder:
     """Token ids of texts, remembering the ids of each word between ASCII white space.
 
     The tokenizer drops white space and never joins across it, and reads A-Z as a-z, so the ids of a
-    text are those of its lower-cased words in a row.  It also parts letters from the symbols behind
-    them, so a new word of letters with symbols at its end is put together from both.  Words of a-z
-    and runs of symbols are themselves what its model merges, and go straight to that.  Other new
-    words are encoded together and told apart by the tokens that end a word, where it is plain how
-    many of these a word has; the rest one by one, as are all of a group whose total differs.
+    text are those of its lower-cased words in a row.  Arrow splits the texts and numbers their
+    different words, so only these are looked up, and lays out the ids.  The tokenizer also parts
+    letters from the symbols behind them, so a new word of letters with symbols at its end is put
+    together from both.  Words of Latin-1 letters and runs of symbols, lower-cased and with their
+    bytes as letters, are what its model merges, and go straight to that.  Other new words are
+    encoded together and told apart by the tokens that end a word, where it is plain how many of
+    these a word has; the rest one by one, as are all of a group whose total differs.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -51,6 +59,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        as_letters = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {n: as_letters(chr(n))[0][0] for n in range(0xC0, 0x100)}
         self.ids: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
@@ -69,28 +79,35 @@ class WordEncoder:
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _merge(self, part: bytes) -> bytes:
-        """Ids of a part that the tokenizer passes to its model as it is."""
+    def _merge(self, part: bytes, letters: str | None = None) -> bytes:
+        """Ids of a part that the tokenizer passes to its model, as it is or as ``letters``."""
         ids = self.ids.get(part)
         if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(part.decode())], "<u4").tobytes()
-            self.ids[part] = ids
+            found = [t.id for t in self.model.tokenize(letters or part.decode())]
+            ids = self.ids[part] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: Iterable[bytes]) -> None:
         """Split symbols off the ends of words of letters, and learn what is left to learn."""
         others, joined = set(), []
         for word in words:
             core = word.rstrip(SYMBOL_BYTES)
             tail = word[len(core) :]
-            if not core or core.isalpha() and core.islower():
-                self.ids[word] = (self._merge(core) if core else b"") + (self._merge(tail) if tail else b"")
-            elif tail and not core.isascii() and core.decode().lower().isalpha():
+            if not core:
+                ids = b""
+            elif core.isalpha() and core.islower():
+                ids = self._merge(core)
+            elif LATIN_LETTERS.fullmatch(text := core.decode()):
+                ids = self._merge(core, text.lower().translate(self.letters))
+            elif tail and text.lower().isalpha():
                 joined.append((word, core, tail))
                 if core not in self.ids:
                     others.add(core)
+                continue
             else:
                 others.add(word)
+                continue
+            self.ids[word] = ids + self._merge(tail) if tail else ids
         self._encode_all(others)
         for word, core, tail in joined:
             self.ids[word] = self.ids[core] + self._merge(tail)
@@ -115,23 +132,44 @@ class WordEncoder:
             data = ids.tobytes()
             self.ids.update(zip(group, map(data.__getitem__, map(slice, [0, *stops], stops))))
 
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words."""
+        found = list(map(self.ids.get, words))
+        new = [word for word, ids in zip(words, found) if ids is None]
+        if not new:
+            return found
+        if len(self.ids) + len(new) > self.cache_words:
+            # Words that come again move on to the next generation, rare ones are forgotten.
+            self.before, self.ids = self.ids, {}
+            new = words
+        self.ids.update((word, self.before[word]) for word in new if word in self.before)
+        self._learn([word for word in new if word not in self.ids])
+        return list(map(self.ids.__getitem__, words))
+
+    def encode_texts(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with ``end`` behind it, and where each text begins and
+        the last one ends."""
+        lower = pc.ascii_lower(texts)
+        reserved = pc.match_substring(texts, "<|")
+        if pc.any(reserved).as_py():
+            # Reserved strings are known by their case.
+            lower = pc.if_else(reserved, texts, lower)
+        words = pc.ascii_split_whitespace(lower)
+        stops = words.offsets.to_numpy()[1:]
+        numbered = words.values.dictionary_encode()
+        known = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = [*self._look_up(known), end]
+        order = np.insert(numbered.indices.to_numpy(), stops, len(ids) - 1)
+        laid = pa.array(ids, pa.large_binary()).take(pa.array(order))
+        _, places, data = laid.buffers()
+        places = np.frombuffer(places, "i8", len(order) + 1) // 4
+        bounds = places[np.concatenate([[0], stops + np.arange(1, len(stops) + 1)])]
+        return np.frombuffer(data, "<u4", bounds[-1]), bounds
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        data = text.encode("utf-8", "replace")
-        # Reserved strings are known by their case.
-        words = (data if b"<|" in data else data.lower()).split()
-        new = set(words).difference(self.ids)
-        if new:
-            if len(self.ids) + len(new) > self.cache_words:
-                # Words that come again move on to the next generation, rare ones are forgotten.
-                self.before, self.ids = self.ids, {}
-                new = set(words)
-            known = {word for word in new if word in self.before}
-            self.ids.update((word, self.before[word]) for word in known)
-            new -= known
-            if new:
-                self._learn(new)
-        return b"".join(map(self.ids.__getitem__, words))
+        data = pa.array([text.encode("utf-8", "replace")], pa.binary())
+        return self.encode_texts(data.cast(pa.string()))[0].tobytes()
 
     def forget(self) -> None:
         self.ids, self.before = {}, {}
@@ -140,30 +178,45 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _blocks(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Rows in runs of at most ``most`` bytes of text; a longer text is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype="i8")
+    start = 0
+    while start < len(ends):
+        room = most + (ends[start - 1] if start else 0)
+        stop = max(start + 1, int(np.searchsorted(ends, room, "right")))
+        yield start, stop
+        start = stop
+
+
 def _pieces(path: str, size: int, with_ids: bool, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(path, None) or WordEncoder(path)
         _encoders[path], encoder.cache_words = encoder, cache_words
-        end = np.array([0], "<u4").tobytes()
         for batch in slices(batches):
-            rows: list[tuple] = []
-            parts: list[bytes] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                data = encoder.encode(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(data), size * 4)):
-                    part = data[at : at + size * 4]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                    parts.append(part)
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            if with_ids:
-                names.append("ids")
-                offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("i4")
-                flat = np.frombuffer(b"".join(parts), "<i4")
-                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            texts, doc_ids = batch.column("text"), batch.column("doc_id")
+            for first, stop in _blocks(texts, BLOCK_BYTES):
+                ids, bounds = encoder.encode_texts(texts.slice(first, stop - first), bytes(4))
+                counts = -(-np.diff(bounds) // size)
+                doc = np.repeat(np.arange(len(counts)), counts)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+                begin = bounds[doc] + piece * size
+                cuts = np.append(begin, bounds[-1])
+                data = memoryview(ids).cast("B")
+                crcs = [zlib.crc32(data[a * 4 : b * 4]) for a, b in pairwise(cuts.tolist())]
+                columns = [
+                    doc_ids.slice(first, stop - first).take(pa.array(doc)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(piece * size, pa.int64()),
+                    pa.array(np.diff(cuts), pa.int64()),
+                    pa.array(crcs, pa.int64()),
+                ]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    names.append("ids")
+                    flat = pa.array(ids.view("<i4"))
+                    columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat))
+                yield pa.RecordBatch.from_arrays(columns, names)
         encoder.forget()  # the worker goes on to other stages
         give_back()
 
