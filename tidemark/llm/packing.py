@@ -82,9 +82,10 @@ class WordEncoder:
     def _merge(self, part: bytes, letters: str | None = None) -> bytes:
         """Ids of a part that the tokenizer passes to its model, as it is or as ``letters``."""
         ids = self.ids.get(part)
-        if ids is None:
+        if ids is None and (ids := self.before.get(part)) is None:
             found = [t.id for t in self.model.tokenize(letters or part.decode())]
-            ids = self.ids[part] = struct.pack(f"<{len(found)}I", *found)
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self.ids[part] = ids
         return ids
 
     def _learn(self, words: Iterable[bytes]) -> None:
@@ -140,11 +141,13 @@ class WordEncoder:
             return found
         if len(self.ids) + len(new) > self.cache_words:
             # Words that come again move on to the next generation, rare ones are forgotten.
-            self.before, self.ids = self.ids, {}
-            new = words
-        self.ids.update((word, self.before[word]) for word in new if word in self.before)
-        self._learn([word for word in new if word not in self.ids])
-        return list(map(self.ids.__getitem__, words))
+            again = {word: ids for word, ids in zip(words, found) if ids is not None}
+            self.before, self.ids = self.ids, again
+        elif self.before:
+            self.ids.update((word, self.before[word]) for word in new if word in self.before)
+            new = [word for word in new if word not in self.ids]
+        self._learn(new)
+        return [self.ids[word] if ids is None else ids for word, ids in zip(words, found)]
 
     def encode_texts(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with ``end`` behind it, and where each text begins and
@@ -178,45 +181,53 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
-def _blocks(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Rows in runs of at most ``most`` bytes of text; a longer text is a run of its own."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype="i8")
-    start = 0
-    while start < len(ends):
-        room = most + (ends[start - 1] if start else 0)
-        stop = max(start + 1, int(np.searchsorted(ends, room, "right")))
-        yield start, stop
-        start = stop
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text; a longer text is one of its own."""
+    held: list[pa.RecordBatch] = []
+    room = most
+    for batch in slices(batches):
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype="i8")
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + room, "right"))
+            if stop <= start and held:
+                yield pa.concat_batches(held)
+                held, room = [], most
+                continue
+            stop = max(stop, start + 1)
+            held.append(batch.slice(start, stop - start))
+            room -= ends[stop - 1] - before
+            start = stop
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _pieces(path: str, size: int, with_ids: bool, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(path, None) or WordEncoder(path)
         _encoders[path], encoder.cache_words = encoder, cache_words
-        for batch in slices(batches):
-            texts, doc_ids = batch.column("text"), batch.column("doc_id")
-            for first, stop in _blocks(texts, BLOCK_BYTES):
-                ids, bounds = encoder.encode_texts(texts.slice(first, stop - first), bytes(4))
-                counts = -(-np.diff(bounds) // size)
-                doc = np.repeat(np.arange(len(counts)), counts)
-                piece = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-                begin = bounds[doc] + piece * size
-                cuts = np.append(begin, bounds[-1])
-                data = memoryview(ids).cast("B")
-                crcs = [zlib.crc32(data[a * 4 : b * 4]) for a, b in pairwise(cuts.tolist())]
-                columns = [
-                    doc_ids.slice(first, stop - first).take(pa.array(doc)),
-                    pa.array(piece, pa.int32()),
-                    pa.array(piece * size, pa.int64()),
-                    pa.array(np.diff(cuts), pa.int64()),
-                    pa.array(crcs, pa.int64()),
-                ]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    names.append("ids")
-                    flat = pa.array(ids.view("<i4"))
-                    columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for block in _blocks(batches, BLOCK_BYTES):
+            ids, bounds = encoder.encode_texts(block.column("text"), bytes(4))
+            counts = -(-np.diff(bounds) // size)
+            doc = np.repeat(np.arange(len(counts)), counts)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+            cuts = np.append(bounds[doc] + piece * size, bounds[-1])
+            data = memoryview(ids).cast("B")
+            crcs = [zlib.crc32(data[a * 4 : b * 4]) for a, b in pairwise(cuts.tolist())]
+            columns = [
+                block.column("doc_id").take(pa.array(doc)),
+                pa.array(piece, pa.int32()),
+                pa.array(piece * size, pa.int64()),
+                pa.array(np.diff(cuts), pa.int64()),
+                pa.array(crcs, pa.int64()),
+            ]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                names.append("ids")
+                flat = pa.array(ids.view("<i4"))
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat))
+            yield pa.RecordBatch.from_arrays(columns, names)
         encoder.forget()  # the worker goes on to other stages
         give_back()
 
